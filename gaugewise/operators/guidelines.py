@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugewise.fixed_values import GUIDELINE_BOUNDS
+from gaugewise.fixed_values import GUIDELINE_BOUNDS, TITLE_WITHOUT_UNIT
 from gaugewise.functions.text import panel_title
 
 
-def guideline_bounds(guidelines: DataFrame) -> DataFrame:
+def guideline_bounds(guidelines: DataFrame, bare_titles: Sequence[str] = TITLE_WITHOUT_UNIT) -> DataFrame:
     """One row per existing bound, named `Lower <exposure>` or `Upper <exposure>`."""
     ids = ["source", "variable_name", "unit_code", "exposure_duration"]
     long = guidelines.unpivot(ids, ["lower_value", "upper_value"], "_side", "guideline_value")
@@ -18,7 +20,7 @@ def guideline_bounds(guidelines: DataFrame) -> DataFrame:
     return (
         long.where("guideline_value is not null")
         .withColumn("bound", F.concat(side, F.col("exposure_duration")))
-        .withColumns({"bound_rank": F.nullif(order, F.lit(0)), "facet_title": panel_title("variable_name", "unit_code")})
+        .withColumns({"bound_rank": F.nullif(order, F.lit(0)), "facet_title": panel_title("variable_name", "unit_code", bare_titles)})
         .drop("_side")
     )
 

@@ -143,6 +143,7 @@ def _panel_flow(flow: DataFrame, obs: DataFrame, stations: DataFrame) -> DataFra
 def _panels(
     rows: DataFrame, flow: DataFrame, obs: DataFrame, panels: Sequence[str], non_flux: Sequence[str],
     one_year_keeps_dates: bool, cutoff_year: int, ending: str, bare_titles: Sequence[str],
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     ranked = ranked_rows(rows, cutoff_year).withColumn(
         "facet_title", panel_title("variable_name", "unit_code", bare_titles)
@@ -168,7 +169,15 @@ def _panels(
     )
     first, last = F.lit(PANEL_FIRST_DATE).cast("date"), period(obs).select(F.col("max_year") + 1).scalar()
     shown = results.where(F.col("sample_date").between(first, year_start(last)))
-    return union_all(shown, daily, labels).withColumns(
+    layers = [shown, daily, labels]
+    if bounds is not None:
+        lines = bounds.where(F.col("facet_title").isin(list(panels))).select(
+            F.struct("facet_title", F.col("guideline_value").alias("measurement_value"), "bound").alias("line")
+        )
+        # the few bounds come in as one array value and appear in every station's panels
+        every = stations.withColumn("line", F.explode(lines.agg(F.array_agg("line")).scalar()))
+        layers.append(every.select("station_name", "line.*", F.lit("guideline").alias("layer")))
+    return union_all(*layers).withColumns(
         {
             "facet_rank": category_rank("facet_title", panels),
             "output_key": output_key("station_name", F.lit(ending)),
@@ -177,14 +186,16 @@ def _panels(
 
 
 def concentration_panels(
-    view: DataFrame, flow: DataFrame, obs: DataFrame, panels: Sequence[str] = CONCENTRATION_PANELS,
-    cutoff_year: int = CUTOFF_YEAR, bare_titles: Sequence[str] = TITLE_WITHOUT_UNIT,
+    view: DataFrame, flow: DataFrame, obs: DataFrame, guidelines: DataFrame,
+    panels: Sequence[str] = CONCENTRATION_PANELS, cutoff_year: int = CUTOFF_YEAR,
+    bare_titles: Sequence[str] = TITLE_WITHOUT_UNIT,
 ) -> DataFrame:
-    """All panels of a station: results by year, daily flow, and labels where data is missing.
+    """All panels of a station: results by year, daily flow, guideline lines, labels where data is missing.
 
     A station with results of a single year keeps their dates.
     """
-    return _panels(view, flow, obs, panels, (), True, cutoff_year, "log_conc", bare_titles)
+    bounds = guideline_bounds(guidelines, bare_titles)
+    return _panels(view, flow, obs, panels, (), True, cutoff_year, "log_conc", bare_titles, bounds)
 
 
 def flux_panels(
