@@ -179,10 +179,10 @@ def _(r: Roles):
 
 @query(
     "names_missing",
-    "select n_name as name from nation except select range from obs where variable_name = 'LARGE' and measurement_value > 49",
+    "select n_name as name from nation except select range from obs where measurement_flag = 'X' and month(sample_date) = 2 and variable_name = 'LARGE'",
 )
 def _(r: Roles):
-    obs = r.observations().where("variable_name = 'LARGE' and measurement_value > 49")
+    obs = r.observations().where("measurement_flag = 'X' and month(sample_date) = 2 and variable_name = 'LARGE'")
     return conform.names_only_in_first(r.table("nation"), "n_name", obs, "range")
 
 

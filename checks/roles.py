@@ -129,13 +129,13 @@ class Roles:
         )
 
     def flow(self) -> DataFrame:
-        """Daily flow per nation, cut to 3 decimals of whole cents; the 31st of a month is missing."""
+        """Daily flow per nation, in eighths so that sums are exact; the 31st of a month is missing."""
         orders = self.table("orders").select("o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("date"))
         customers = self.table("customer").select("c_custkey", "c_nationkey")
         return (
             orders.join(customers, F.expr("o_custkey = c_custkey"))
             .groupBy("date", "c_nationkey")
-            .agg(F.expr("floor(avg(cast(round(o_totalprice * 100) as bigint)) / 1000) / 1000D as v"))
+            .agg(F.expr("floor(avg(cast(round(o_totalprice * 100) as bigint)) / 12500) / 8D as v"))
             .selectExpr(
                 "date",
                 "concat('N', c_nationkey) as flow_station_number",
@@ -214,7 +214,7 @@ with raw as (
   from nation where n_nationkey <> 24
 ), flow as (
   select cast(o_orderdate as date) as date, 'N' || c_nationkey as flow_station_number,
-    case when day(cast(o_orderdate as date)) <> 31 then floor(avg(cast(round(o_totalprice * 100) as bigint)) / 1000) / 1000::double end as value
+    case when day(cast(o_orderdate as date)) <> 31 then floor(avg(cast(round(o_totalprice * 100) as bigint)) / 12500) / 8::double end as value
   from orders join customer on o_custkey = c_custkey group by 1, 2
 ), named_flow as (
   select flow.*, station_name_wq, flow_station_name, station_name from flow left join flow_lookup using (flow_station_number)
