@@ -6,6 +6,9 @@ nation and events give gauge readings. `PRELUDE` holds the same definitions for
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,20 @@ from gaugewise.operators.lookups import literal_table
 from gaugewise.plans.observations import observation_view
 from gaugewise.schema import GUIDELINES, LIMITS
 
+# explicit schemas: no job to read footers before the query itself
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
 CUTOFF = 2001
 COUNT_VARIABLE = "ECONOMY"
 LINEAR_ONLY = ("PROMO",)
@@ -50,29 +67,40 @@ def sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+def once(build: Callable[[Roles], DataFrame]) -> Callable[[Roles], DataFrame]:
+    """Build a table of a `Roles` object one time; the same lazy plan serves every use."""
+
+    @wraps(build)
+    def get(self: Roles) -> DataFrame:
+        if build.__name__ not in self.built:
+            self.built[build.__name__] = build(self)
+        return self.built[build.__name__]
+
+    return get
+
+
 class Roles:
     """Monitoring tables over the driver tables of one folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self.built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self.built:
+            self.built[name] = self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
+        return self.built[name]
 
+    @once
     def raw_observations(self) -> DataFrame:
         """Results with units in several spellings."""
-        stations = (
-            self.table("supplier")
-            .join(self.table("nation"), F.expr("s_nationkey = n_nationkey"))
-            .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
-            .select("s_suppkey", "s_name", "n_name", "r_name", "n_nationkey")
-        )
-        parts = self.table("part").select("p_partkey", "p_type")
         limit = "4 + length(p_type)"
         return (
             self.table("lineitem")
-            .join(parts, F.expr("l_partkey = p_partkey"))
-            .join(stations, F.expr("l_suppkey = s_suppkey"))
+            .join(self.table("part").select("p_partkey", "p_type"), F.expr("l_partkey = p_partkey"))
+            .join(self.table("supplier").select("s_suppkey", "s_name", "s_nationkey"), F.expr("l_suppkey = s_suppkey"))
+            .join(self.table("nation"), F.expr("s_nationkey = n_nationkey"))
+            .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
             .selectExpr(
                 "r_name as agency",
                 "n_name as range",
@@ -94,21 +122,27 @@ class Roles:
             )
         )
 
+    @once
     def observations(self) -> DataFrame:
         return self.raw_observations().drop("raw_unit", "n_nationkey", "price")
 
+    @once
     def limits(self) -> DataFrame:
         return literal_table(self.spark, LIMIT_ROWS, LIMITS)
 
+    @once
     def guidelines(self) -> DataFrame:
         return literal_table(self.spark, GUIDELINE_ROWS, GUIDELINES)
 
+    @once
     def censored(self) -> DataFrame:
         return flag_censored(self.observations())
 
+    @once
     def substituted(self) -> DataFrame:
         return substitute_limits(self.censored(), self.limits())
 
+    @once
     def station_lookup(self) -> DataFrame:
         """Sampling station to flow station; one nation has none, some flow stations have no name."""
         nation = self.table("nation").where("n_nationkey <> 24")
@@ -119,6 +153,7 @@ class Roles:
             "concat('Site u/s ', n_name) as station_name",
         )
 
+    @once
     def flow_lookup(self) -> DataFrame:
         """One sampling station per flow station."""
         return self.table("nation").where("n_nationkey <> 24").selectExpr(
@@ -128,6 +163,7 @@ class Roles:
             "concat('Site u/s ', n_name) as station_name",
         )
 
+    @once
     def flow(self) -> DataFrame:
         """Daily flow per nation, in eighths so that sums are exact; the 31st of a month is missing."""
         orders = self.table("orders").select("o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("date"))
@@ -143,16 +179,20 @@ class Roles:
             )
         )
 
+    @once
     def named_flow(self) -> DataFrame:
         return flow_with_station(self.flow(), self.flow_lookup())
 
+    @once
     def finished(self) -> DataFrame:
         """The finished observation table."""
         return obs_with_flow(obs_with_station(self.substituted(), self.station_lookup()), self.named_flow())
 
+    @once
     def view(self) -> DataFrame:
         return observation_view(self.finished())
 
+    @once
     def gauge_readings(self) -> DataFrame:
         return self.table("events").selectExpr(
             "case when user_id % 50 = 0 then 'PC2A' else concat('U', user_id) end as site",
@@ -160,6 +200,7 @@ class Roles:
             "case when value <= 150 then value end as flow_cms",
         )
 
+    @once
     def text_results(self) -> DataFrame:
         """Results reported as text, some censored, some unusable."""
         return self.table("events").selectExpr(

@@ -261,3 +261,27 @@ FLUX_PANELS = (
     "TURBIDITY",
 )
 NON_FLUX_PANELS = ("PH", "SODIUM ADSORPTION RATIO (CALCD.)", "SPECIFIC CONDUCTANCE (FIELD)", "TURBIDITY")
+
+# The limit to substitute per (agency, variable), chosen after review of the reported limits.
+CHOSEN_LIMITS = (
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "AMMONIA TOTAL", 0.05),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "CARBON TOTAL ORGANIC (TOC)", 0.5),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "CHLORIDE DISSOLVED", 1.0),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "ESCHERICHIA COLI", 10.0),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "NITROGEN, NITRATE", 0.003),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "PHOSPHORUS TOTAL (P)", 0.003),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "PHOSPHORUS TOTAL DISSOLVED", 0.003),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "TOTAL SUSPENDED SOLIDS (TSS)", 1.0),
+    ("ALBERTA ENVIRONMENT AND PROTECTED AREAS", "TURBIDITY", 1.0),
+    ("CITY OF CALGARY", "AMMONIA TOTAL", 0.05),
+    ("CITY OF CALGARY", "CARBON TOTAL ORGANIC (TOC)", 0.5),
+    ("CITY OF CALGARY", "ESCHERICHIA COLI", 10.0),
+    ("CITY OF CALGARY", "NITROGEN, NITRATE", 0.005),
+    ("CITY OF CALGARY", "PHOSPHORUS TOTAL (P)", 0.003),
+    ("CITY OF CALGARY", "PHOSPHORUS TOTAL DISSOLVED", 0.003),
+    ("CITY OF CALGARY", "TOTAL SUSPENDED SOLIDS (TSS)", 2.0),
+    ("ENVIRONMENT CANADA", "ESCHERICHIA COLI", 10.0),
+    ("ENVIRONMENT CANADA", "PHOSPHORUS TOTAL (P)", 0.002),
+    ("ENVIRONMENT CANADA", "PHOSPHORUS TOTAL DISSOLVED", 0.002),
+    ("ENVIRONMENT CANADA", "TOTAL SUSPENDED SOLIDS (TSS)", 1.0),
+)

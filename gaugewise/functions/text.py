@@ -29,7 +29,7 @@ def censored_flag(c: ColumnOrName) -> Column:
 
 def snake_case(name: str) -> str:
     """A header as lower-case words joined by underscores."""
-    split = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.replace("%", "_percent_").replace("#", "_number_"))
+    split = re.sub(r"([a-z])([A-Z])", r"\1_\2", name.replace("%", "_percent_").replace("#", "_number_"))
     words = re.sub(r"[^0-9A-Za-z]+", "_", split).strip("_").lower()
     return f"x{words}" if words[:1].isdigit() else words
 

@@ -49,17 +49,16 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str | Column) -> Dat
 
 
 def _bucket_bounds(counts: DataFrame) -> DataFrame:
-    """Per (group, bucket): rows before it (`_start`), rows up to it (`_end`); of the group: rows and sum of values."""
+    """Per (group, bucket): rows before it (`_start`), rows up to it (`_end`), rows of the group (`_total`)."""
     return (
         counts.groupBy(KEY, BUCKET)
-        .agg(F.sum(N).alias(N), F.sum(F.expr(f"{N} * {VALUE}")).alias("_sum"))
+        .agg(F.sum(N).alias(N))
         .selectExpr(
             KEY,
             BUCKET,
             f"sum({N}) over (partition by {KEY} order by {BUCKET}) - {N} as _start",
             f"sum({N}) over (partition by {KEY} order by {BUCKET}) as _end",
             f"sum({N}) over (partition by {KEY}) as _total",
-            f"sum(_sum) over (partition by {KEY}) as _sum",
         )
     )
 
@@ -67,18 +66,17 @@ def _bucket_bounds(counts: DataFrame) -> DataFrame:
 def quantiles_of_counts(counts: DataFrame, probs: Mapping[str, float]) -> DataFrame:
     """Linear-interpolation ("type 7") quantiles: one row per group, one column per entry of `probs`."""
     h = {name: f"((_total - 1) * {float(p)!r}D)" for name, p in probs.items()}
-    wanted = ", ".join(f"floor({x}), ceil({x})" for x in h.values())
-    targets = (
-        _bucket_bounds(counts)
-        .withColumn("_wanted", F.expr(f"filter(array_distinct(array({wanted})), r -> r >= _start and r < _end)"))
-        .where("size(_wanted) > 0")
-        .drop("_end", "_sum")
-    )
+    ranks = [f"{f}({x})" for x in h.values() for f in ("floor", "ceil")]
+
+    def holds_a_rank(first: str, last: str) -> str:
+        return " or ".join(f"{rank} between {first} and {last}" for rank in ranks)
+
+    targets = _bucket_bounds(counts).where(holds_a_rank("_start", "_end - 1")).drop("_end")
     ranked = (
         counts.join(targets, [KEY, BUCKET])
         .withColumn("_last", F.expr(f"_start - 1 + sum({N}) over (partition by {KEY}, {BUCKET} order by {VALUE})"))
         .withColumn("_first", F.expr(f"_last - {N} + 1"))
-        .where("exists(_wanted, r -> r between _first and _last)")
+        .where(holds_a_rank("_first", "_last"))
     )
 
     def at(rank: str) -> str:
@@ -100,6 +98,26 @@ def grouped_quantiles(
     )
 
 
+def quantiles_of_columns(
+    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, Mapping[str, float]]
+) -> DataFrame:
+    """Exact quantiles of several columns per group in one pass over `df`; `wanted` maps column to probs."""
+    if len(wanted) == 1:
+        ((value, probs),) = wanted.items()
+        return grouped_quantiles(df, keys, value, probs)
+    stacked = ", ".join(f"'{column}', cast(`{column}` as double)" for column in wanted)
+    long = df.select(*keys, F.expr(f"stack({len(wanted)}, {stacked}) as (_column, _stacked)"))
+    names = {f"p{i}": p for i, p in enumerate(sorted({p for probs in wanted.values() for p in probs.values()}))}
+    found = quantiles_of_counts(value_counts(long, [*keys, "_column"], "_stacked"), names)
+    source = {p: name for name, p in names.items()}
+    columns = [
+        F.expr(f"max(case when {KEY}._column = '{column}' then {source[p]} end)").alias(alias)
+        for column, probs in wanted.items()
+        for alias, p in probs.items()
+    ]
+    return found.groupBy(*[F.col(f"{KEY}.`{k}`").alias(k) for k in keys]).agg(*columns)
+
+
 def share_at_or_below(counts: DataFrame, probes: DataFrame, probe_value: str) -> DataFrame:
     """Empirical distribution of each group, read at the probes of that group.
 
@@ -116,10 +134,24 @@ def share_at_or_below(counts: DataFrame, probes: DataFrame, probe_value: str) ->
         f"struct({others}) as _probe",
     )
     pool = counts.select(KEY, BUCKET, VALUE, N).unionByName(tagged, allowMissingColumns=True)
-    # the default RANGE frame counts rows equal to the probe as "at or below"
-    inside = pool.withColumn(
-        "_inside", F.expr(f"sum({N}) over (partition by {KEY}, {BUCKET} order by {VALUE})")
-    ).where("_probe is not null")
-    return inside.join(_bucket_bounds(pool), [KEY, BUCKET]).selectExpr(
-        KEY, "_probe.*", "try_divide(_start + _inside, _total) as _share", "_total", "_sum"
+    # Inside a bucket: running count (the default RANGE frame counts rows equal to the probe as "at or
+    # below") and, on one row per bucket, the bucket's totals.
+    bucket = f"over (partition by {KEY}, {BUCKET}"
+    inside = pool.selectExpr(
+        KEY, BUCKET, "_probe",
+        f"sum({N}) {bucket} order by {VALUE}) as _inside",
+        f"sum({N}) {bucket}) as _in_bucket",
+        f"sum({N} * {VALUE}) {bucket}) as _bucket_sum",
+        f"row_number() {bucket} order by {VALUE}) as _row",
+    ).where("_probe is not null or _row = 1")
+    # Across buckets only bucket rows and probes are left; the RANGE frame holds all rows of a bucket.
+    once = "case when _row = 1 then {0} end"
+    group = f"over (partition by {KEY}"
+    return inside.selectExpr(
+        KEY, "_probe",
+        f"sum({once.format('_in_bucket')}) {group} order by {BUCKET}) - _in_bucket + _inside as _below",
+        f"sum({once.format('_in_bucket')}) {group}) as _total",
+        f"sum({once.format('_bucket_sum')}) {group}) as _sum",
+    ).where("_probe is not null").selectExpr(
+        KEY, "_probe.*", "try_divide(_below, _total) as _share", "_total", "_sum"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugewise.functions.rules import n_unique, n_unique_few, percent, strict
 from gaugewise.operators.censoring import is_censored
-from gaugewise.operators.distribution import grouped_quantiles
+from gaugewise.operators.distribution import quantiles_of_columns
 from gaugewise.operators.lookups import join_same
 
 QUANTILES = {"p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9}
@@ -31,7 +31,7 @@ def overview(
     state after limit substitution, `stations` the number of stations, `flow` mean and median of the same-day
     flow, `flux` the sum of that column. Dates, `count_lflag2` and the flux sum are NULL when an input is.
 
-    Simple measures combine before the shuffle; quantiles come from `grouped_quantiles`, so that no task
+    Simple measures combine before the shuffle; quantiles come from `quantiles_of_columns`, so that no task
     holds a group.
     """
     censored = is_censored()
@@ -66,10 +66,7 @@ def overview(
         measures.append(F.avg("daily_flow_cms").alias("mean_flow"))
     if flux:
         measures.append(strict(F.sum, flux).alias("sum_flux"))
-    result = join_same(
-        df.groupBy(*keys).agg(*measures), grouped_quantiles(df, keys, value, QUANTILES), list(keys)
-    )
+    wanted = {value: QUANTILES}
     if flow:
-        medians = grouped_quantiles(df, keys, "daily_flow_cms", {"median_flow": 0.5})
-        result = join_same(result, medians, list(keys))
-    return result
+        wanted["daily_flow_cms"] = {"median_flow": 0.5}
+    return join_same(df.groupBy(*keys).agg(*measures), quantiles_of_columns(df, keys, wanted), list(keys))

@@ -127,9 +127,8 @@ def flow_rows(flow: DataFrame, obs: DataFrame) -> DataFrame:
     ).withColumn("output_key", output_key("station_name", F.lit("FLOW")))
 
 
-def _panel_flow(flow: DataFrame, obs: DataFrame, stations: DataFrame) -> DataFrame:
+def _panel_flow(flow: DataFrame, stations: DataFrame, last: Column) -> DataFrame:
     """The flow panel: every day of the common axis; days beyond it are not shown."""
-    last = year_start(period(obs).select(F.col("max_year") + 1).scalar())
     first = F.lit(PANEL_FIRST_DATE).cast("date")
     series = flow_series(flow).where(F.col("sample_date").between(first, last))
     days = stations.select(
@@ -145,11 +144,11 @@ def _panels(
     one_year_keeps_dates: bool, cutoff_year: int, ending: str, bare_titles: Sequence[str],
     bounds: DataFrame | None = None,
 ) -> DataFrame:
-    ranked = ranked_rows(rows, cutoff_year).withColumn(
-        "facet_title", panel_title("variable_name", "unit_code", bare_titles)
-    )
+    rows = rows.withColumn("facet_title", panel_title("variable_name", "unit_code", bare_titles))
+    ranks = year_ranks(rows, GROUP, cutoff_year=cutoff_year)
+    ranked = attach_ranks(rows, ranks, GROUP)
     if one_year_keeps_dates:
-        years = rows.groupBy("station_name").agg(n_unique_few("year").alias("_years"))
+        years = ranks.groupBy("station_name").agg(n_unique_few("year").alias("_years"))
         at_year = F.when(F.col("_years") > 1, year_start("year")).otherwise(F.col("sample_date"))
         ranked = join_same(ranked, years, ["station_name"]).withColumn("sample_date", at_year).drop("_years")
     else:
@@ -158,17 +157,17 @@ def _panels(
         "station_name", "facet_title", "sample_date", "measurement_value", "year", "perc_bin", "percentile",
         F.lit("result").alias("layer"),
     )
-    stations = rows.select("station_name").distinct()
-    daily = _panel_flow(flow, obs, stations).select(
+    titles = rows.select("station_name", "facet_title").distinct()
+    stations = titles.select("station_name").distinct()
+    last_day = year_start(period(obs).select(F.col("max_year") + 1).scalar())
+    daily = _panel_flow(flow, stations, last_day).select(
         "station_name", "facet_title", "sample_date", F.col("daily_flow_cms").alias("measurement_value"), "year",
         F.lit("flow").alias("layer"),
     )
-    titles = rows.select("station_name", panel_title("variable_name", "unit_code", bare_titles).alias("facet_title"))
-    labels = missing_panels(titles.distinct(), flow_series(flow), panels, non_flux).select(
+    labels = missing_panels(titles, flow_series(flow), panels, non_flux).select(
         "station_name", "facet_title", "text", F.lit("label").alias("layer")
     )
-    first, last = F.lit(PANEL_FIRST_DATE).cast("date"), period(obs).select(F.col("max_year") + 1).scalar()
-    shown = results.where(F.col("sample_date").between(first, year_start(last)))
+    shown = results.where(F.col("sample_date").between(F.lit(PANEL_FIRST_DATE).cast("date"), last_day))
     layers = [shown, daily, labels]
     if bounds is not None:
         lines = bounds.where(F.col("facet_title").isin(list(panels))).select(

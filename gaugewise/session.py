@@ -8,9 +8,11 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(app_name: str = "gaugewise", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app_name: str = "gaugewise", cpus: int | str = "*", shuffle_partitions: int = 8, extra: dict[str, str] | None = None
+) -> SparkSession:
     """A `local[cpus]` session for tests and benchmarks."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -20,8 +22,10 @@ def local_session(app_name: str = "gaugewise", cpus: int | str = "*", shuffle_pa
         .config("spark.driver.memory", os.environ.get("GAUGEWISE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
