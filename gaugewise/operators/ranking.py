@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from gaugewise.fixed_values import CUTOFF_YEAR, NOT_RANKED, RANK_BREAKS, RANK_FLOOR, RANK_LABELS
 from gaugewise.functions.rules import as_col
-from gaugewise.operators.distribution import KEY, N, VALUE, quantiles_of_counts, share_at_or_below, value_counts
+from gaugewise.operators.distribution import (
+    BUCKETS,
+    KEY,
+    N,
+    VALUE,
+    quantiles_of_counts,
+    share_at_or_below,
+    value_counts,
+)
 from gaugewise.operators.lookups import join_same
 
 GROUP = ("station", "variable_name")
@@ -44,7 +52,7 @@ def year_ranks(
     group_struct = "named_struct(" + ", ".join(f"'{g}', {KEY}.`{g}`" for g in group) + ")"
     is_history = HISTORY[history].format(year=f"{KEY}.`{year}`", cutoff=int(cutoff_year))
     # a conditional sum, not a filter: a filter would reach below the shared shuffle and split it in two
-    past = counts.groupBy(F.expr(group_struct).alias(KEY), "_bucket", VALUE).agg(
+    past = counts.groupBy(F.expr(group_struct).alias(KEY), *BUCKETS, VALUE).agg(
         F.sum(F.expr(f"case when {is_history} then {N} else 0L end")).alias(N)
     )
     probes = medians.selectExpr(f"{group_struct} as _group", f"{KEY}.`{year}` as _year", "median").withColumnRenamed(

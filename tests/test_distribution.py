@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from gaugewise.operators.distribution import (
     KEY,
+    bucket_columns,
     grouped_quantiles,
-    order_bucket,
     quantiles_of_columns,
     share_at_or_below,
     value_counts,
@@ -62,8 +62,11 @@ def test_several_columns_in_one_pass(spark):
 def test_bucket_never_decreases(spark):
     values = sorted([random.Random(5).uniform(-1e6, 1e6) for _ in range(500)] + [0.0, 1e-300, -1e-300, 1e308, -1e308,
                     float("inf"), float("-inf"), 5e-324, 1.0, 1.0 + 2**-52])
-    df = spark.createDataFrame([(float(v),) for v in values], "v double").selectExpr("v", f"{order_bucket('v')} as b")
-    buckets = [r["b"] for r in df.collect()]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").selectExpr(
+        "v", *[f"{text} as {name}" for name, text in bucket_columns("v").items()]
+    )
+    buckets = [(r["_coarse"], r["_fine"]) for r in df.collect()]
+    assert all(0 <= fine <= 2**20 for _, fine in buckets)
     order = [b for _, b in sorted(zip(values, buckets, strict=True), key=lambda t: t[0])]
     assert order == sorted(order)
 
