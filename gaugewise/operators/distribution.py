@@ -2,15 +2,15 @@
 
 `percentile` keeps every distinct value of a group in one task's memory and a value-ordered window over a
 group sorts the whole group in one task; neither holds when one group owns a large share of the rows.
-Here a group is split by order-preserving buckets of the value, coarse ones and fine ones inside them:
+Here a group is split by an order-preserving bucket of the value:
 
-1. `value_counts`  rows -> (group, coarse, fine, value, n); combined map-side and shuffled on all of these, so
-                   copies of one value collapse to one row and a large group spreads over all tasks.
-2. coarse totals   at most 409,600 rows per group, however large it is; running sums over them find the coarse
-                   buckets that hold a wanted rank.
-3. fine totals     of those coarse buckets only, at most 1,048,576 rows each.
-4. values          of the fine buckets that hold a wanted rank. A fine bucket spans a relative width of 2^-28,
-                   which leaves at most about 2^24 different doubles of magnitude 1e-9 or more for one task.
+1. `value_counts`  rows -> (group, bucket, value, n); combined map-side and shuffled on all three, so copies of
+                   one value collapse to one row and a large group spreads over all tasks.
+2. bucket totals   (group, bucket) -> n, then running sums over the buckets of a group: at most 13.1 million
+                   short rows (see `LARGEST_POSITION`), however large the group is.
+3. values          ordered only inside a bucket, one bucket per task. A bucket is 1.2e-4 of its values wide:
+                   measurements of up to nine significant digits leave at most about 122,000 different
+                   values in it, however many rows there are.
 
 Group keys are packed into one struct so that NULL keys match each other and every step shares the same
 partitioning expression.
@@ -23,34 +23,47 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COARSE_PER_UNIT = 256
-FINE_PER_COARSE = 2**20
-# |log1p(v * 1e9)| <= 731 for every finite double
+BUCKETS_PER_UNIT = 8192
+# |log1p(v * 1e9)| <= 731 for every finite double, so a group has at most 2 * 800 * 8192 buckets
 LARGEST_POSITION = 800.0
 
-KEY, VALUE, N = "_key", "_value", "_n"
-BUCKETS = ("_coarse", "_fine")
+KEY, BUCKET, VALUE, N = "_key", "_bucket", "_value", "_n"
 
 
-def bucket_columns(value: str) -> dict[str, str]:
-    """SQL text of the coarse and the fine bucket of a value.
+def order_bucket(value: str) -> str:
+    """SQL text of a coarse integer that never decreases as `value` grows (log1p is monotone).
 
-    Read together they never decrease as the value grows (log1p is monotone). They are never NULL, so that
-    joins on them add no NULL filter below the shared `value_counts` shuffle, which Spark can then reuse
-    between the branches of a plan.
+    Never NULL, so that joins on it add no NULL filter below the shared `value_counts` shuffle, which Spark
+    can then reuse between the branches of a plan.
     """
-    position = f"signum({value}) * least(log1p(abs({value}) * 1e9D), {LARGEST_POSITION}D) * {COARSE_PER_UNIT}"
-    coarse = f"floor({position})"
-    fine = f"floor(({position} - {coarse}) * {FINE_PER_COARSE})"
-    return dict(zip(BUCKETS, (f"coalesce({coarse}, 0L)", f"coalesce({fine}, 0L)"), strict=True))
+    scaled = f"signum({value}) * least(log1p(abs({value}) * 1e9D), {LARGEST_POSITION}D)"
+    return f"coalesce(floor({scaled} * {BUCKETS_PER_UNIT}), 0L)"
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
-    """(group, coarse, fine, value) -> n over the non-missing values."""
+    """(group, bucket, value) -> n over the non-missing values."""
     col = F.col(value) if isinstance(value, str) else value
     slim = df.select(F.struct(*keys).alias(KEY), F.nanvl(col.cast("double"), F.lit(None)).alias(VALUE))
-    buckets = [F.expr(text).alias(name) for name, text in bucket_columns(VALUE).items()]
-    return slim.where(f"{VALUE} is not null").groupBy(KEY, *buckets, VALUE).agg(F.count(F.lit(1)).alias(N))
+    return (
+        slim.where(f"{VALUE} is not null")
+        .groupBy(KEY, F.expr(order_bucket(VALUE)).alias(BUCKET), VALUE)
+        .agg(F.count(F.lit(1)).alias(N))
+    )
+
+
+def _bucket_bounds(counts: DataFrame) -> DataFrame:
+    """Per (group, bucket): rows before it (`_start`), rows up to it (`_end`), rows of the group (`_total`)."""
+    return (
+        counts.groupBy(KEY, BUCKET)
+        .agg(F.sum(N).alias(N))
+        .selectExpr(
+            KEY,
+            BUCKET,
+            f"sum({N}) over (partition by {KEY} order by {BUCKET}) - {N} as _start",
+            f"sum({N}) over (partition by {KEY} order by {BUCKET}) as _end",
+            f"sum({N}) over (partition by {KEY}) as _total",
+        )
+    )
 
 
 def quantiles_of_counts(counts: DataFrame, probs: Mapping[str, float]) -> DataFrame:
@@ -61,35 +74,10 @@ def quantiles_of_counts(counts: DataFrame, probs: Mapping[str, float]) -> DataFr
     def holds_a_rank(first: str, last: str) -> str:
         return " or ".join(f"{rank} between {first} and {last}" for rank in ranks)
 
-    # ranks before each coarse bucket, and the coarse buckets that hold a wanted rank
-    coarse, fine = BUCKETS
-    running = f"sum({N}) over (partition by {KEY} order by {coarse})"
-    in_coarse = (
-        counts.groupBy(KEY, coarse)
-        .agg(F.sum(N).alias(N))
-        .selectExpr(
-            KEY, coarse, f"{running} - {N} as _start", f"{running} as _end",
-            f"sum({N}) over (partition by {KEY}) as _total",
-        )
-        .where(holds_a_rank("_start", "_end - 1"))
-        .drop("_end")
-    )
-    # the same inside those, fine bucket by fine bucket; from here on only their values are looked at
-    near = counts.join(in_coarse, [KEY, coarse])
-    running = f"_start + sum({N}) over (partition by {KEY}, {coarse} order by {fine})"
-    in_fine = (
-        near.groupBy(KEY, coarse, fine, "_start", "_total")
-        .agg(F.sum(N).alias(N))
-        .selectExpr(KEY, coarse, fine, f"{running} - {N} as _start", f"{running} as _end", "_total")
-        .where(holds_a_rank("_start", "_end - 1"))
-        .drop("_end")
-    )
-    # and inside the fine buckets value by value
-    running = f"_start - 1 + sum({N}) over (partition by {KEY}, {coarse}, {fine} order by {VALUE})"
+    targets = _bucket_bounds(counts).where(holds_a_rank("_start", "_end - 1")).drop("_end")
     ranked = (
-        near.drop("_start", "_total")
-        .join(in_fine, [KEY, coarse, fine])
-        .withColumn("_last", F.expr(running))
+        counts.join(targets, [KEY, BUCKET])
+        .withColumn("_last", F.expr(f"_start - 1 + sum({N}) over (partition by {KEY}, {BUCKET} order by {VALUE})"))
         .withColumn("_first", F.expr(f"_last - {N} + 1"))
         .where(holds_a_rank("_first", "_last"))
     )
@@ -136,43 +124,37 @@ def quantiles_of_columns(
 def share_at_or_below(counts: DataFrame, probes: DataFrame, probe_value: str) -> DataFrame:
     """Empirical distribution of each group, read at the probes of that group.
 
-    `counts` comes from `value_counts`; `probes` has the packed group key, `probe_value` and any other
+    `counts` is (group, bucket, value, n); `probes` has the packed group key, `probe_value` and any other
     columns. Returns the probes with `_share` = (values <= probe) / (all values), ties included, NULL for a
     group without values, and the group's number (`_total`) and sum (`_sum`) of values.
-
-    Works upwards: values of a fine bucket, fine buckets of a coarse bucket, coarse buckets of a group. Each
-    step adds what lies before and passes on only the probes and one row per bucket with the bucket's totals.
     """
     others = ", ".join(c for c in probes.columns if c != KEY)
     tagged = probes.selectExpr(
         KEY,
-        *[f"{text} as {name}" for name, text in bucket_columns(probe_value).items()],
+        f"{order_bucket(probe_value)} as {BUCKET}",
         f"{probe_value} as {VALUE}",
         f"0L as {N}",
         f"struct({others}) as _probe",
     )
-    rows = (
-        counts.select(KEY, *BUCKETS, VALUE, N)
-        .unionByName(tagged, allowMissingColumns=True)
-        .selectExpr("*", f"{N} * {VALUE} as _weight", "0L as _below", f"{N} as _own")
-    )
-    levels = ((VALUE, BUCKETS), (BUCKETS[1], BUCKETS[:1]), (BUCKETS[0], ()))
-    for order, scope in levels:
-        part = f"over (partition by {', '.join((KEY, *scope))}"
-        # the default RANGE frame holds all rows that are equal in `order`; `_own` is what a row itself
-        # already counts in `_below`, so that only what lies before its bucket is added
-        before = f"sum({N}) {part} order by {order})"
-        below = before if order == VALUE else f"{before} - _own + _below"
-        rows = rows.selectExpr(
-            KEY, *scope, "_probe",
-            f"{below} as _below",
-            f"sum({N}) {part}) as _own",
-            f"sum(_weight) {part}) as _weight",
-            f"row_number() {part} order by {order}) as _row",
-        ).where("_probe is not null or _row = 1")
-        # totals travel on one row per bucket; the other rows count nothing further up
-        rows = rows.withColumns({N: F.expr("case when _row = 1 then _own else 0L end")})
-        rows = rows.withColumns({"_group_sum": F.col("_weight"), "_weight": F.expr("case when _row = 1 then _weight else 0D end")})
-    return rows.where("_probe is not null").selectExpr(
-        KEY, "_probe.*", "try_divide(_below, _own) as _share", "_own as _total", "_group_sum as _sum"
+    pool = counts.select(KEY, BUCKET, VALUE, N).unionByName(tagged, allowMissingColumns=True)
+    # Inside a bucket: running count (the default RANGE frame counts rows equal to the probe as "at or
+    # below") and, on one row per bucket, the bucket's totals.
+    bucket = f"over (partition by {KEY}, {BUCKET}"
+    inside = pool.selectExpr(
+        KEY, BUCKET, "_probe",
+        f"sum({N}) {bucket} order by {VALUE}) as _inside",
+        f"sum({N}) {bucket}) as _in_bucket",
+        f"sum({N} * {VALUE}) {bucket}) as _bucket_sum",
+        f"row_number() {bucket} order by {VALUE}) as _row",
+    ).where("_probe is not null or _row = 1")
+    # Across buckets only bucket rows and probes are left; the RANGE frame holds all rows of a bucket.
+    once = "case when _row = 1 then {0} end"
+    group = f"over (partition by {KEY}"
+    return inside.selectExpr(
+        KEY, "_probe",
+        f"sum({once.format('_in_bucket')}) {group} order by {BUCKET}) - _in_bucket + _inside as _below",
+        f"sum({once.format('_in_bucket')}) {group}) as _total",
+        f"sum({once.format('_bucket_sum')}) {group}) as _sum",
+    ).where("_probe is not null").selectExpr(
+        KEY, "_probe.*", "try_divide(_below, _total) as _share", "_total", "_sum"
     )
