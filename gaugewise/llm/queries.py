@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugewise.llm.licences import scan_licences
+from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
 from gaugewise.llm.quality_rules import quality_verdicts
 
@@ -39,3 +40,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scans")
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("op1_source_mixing")
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
