@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugewise.llm.licences import scan_licences
 from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
+from gaugewise.llm.packing import pack_documents
 from gaugewise.llm.quality_rules import quality_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +46,15 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_source_mixing")
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of `docs` in the vocabulary of the driver's tokenizers, which are installed on every machine."""
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("ids")
