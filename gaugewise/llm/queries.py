@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugewise.llm.licences import scan_licences
+from gaugewise.llm.line_dedup import without_repeated_lines
 from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
 from gaugewise.llm.packing import pack_documents
@@ -58,3 +59,9 @@ def packed(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("ids")
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeated_lines(docs, counts=True)
