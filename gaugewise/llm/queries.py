@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gaugewise.llm.html_text import extract_main_text
 from gaugewise.llm.licences import scan_licences
 from gaugewise.llm.line_dedup import without_repeated_lines
 from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
 from gaugewise.llm.packing import pack_documents
 from gaugewise.llm.quality_rules import quality_verdicts
+from gaugewise.llm.top_k import nearest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +67,26 @@ def packed(docs: DataFrame) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return without_repeated_lines(docs, counts=True)
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op5_exact_topk")
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op5_exact_topk"] = """
+with v as (
+    select vec_id, [floor(256 * x::double) for x in embedding] as e from embeddings
+    where vec_id is not null and embedding is not null and not list_contains([x is null or not isfinite(x) for x in embedding], true)
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+    from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from scored qualify rank <= 5
+"""
