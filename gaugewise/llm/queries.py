@@ -13,6 +13,7 @@ from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
 from gaugewise.llm.packing import pack_documents
 from gaugewise.llm.quality_rules import quality_verdicts
+from gaugewise.llm.shipping import ship_package
 from gaugewise.llm.top_k import nearest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,7 @@ def query(name: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

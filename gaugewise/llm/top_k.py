@@ -61,17 +61,16 @@ def _scored(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndar
             yield own[k : k + CHUNK], scores
 
 
-def _histogram(ids: np.ndarray, queries: np.ndarray, low: np.ndarray, width: np.ndarray, need: np.ndarray):
-    """Counts by (query, bin) in [low, low + BINS * width); of a task's bins only those that can hold the wanted score."""
+def _histogram(ids: np.ndarray, queries: np.ndarray, low: np.ndarray, high: np.ndarray, width: np.ndarray, need: np.ndarray):
+    """Counts by (query, bin) of scores in [low, high); of a task's bins only those that can hold the wanted score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(ids)
         total = np.zeros(n * BINS, np.int64)
         first = np.arange(n, dtype=np.int64) * BINS
         for _, scores in _scored(batches, ids, queries):
-            inside = (scores >= low) & (scores > NONE)
+            inside = (scores >= low) & (scores < high) & (scores > NONE)
             at = np.where(inside, scores - low, 0) // width
-            inside &= at < BINS
             total += np.bincount((at + first)[inside], minlength=n * BINS)
         counts = total.reshape(n, BINS)
         above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
@@ -106,7 +105,7 @@ def _kth_scores(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, longes
     found = np.zeros(len(ids), bool)
     while not found.all():
         width = np.maximum(1, -(-(high - low) // BINS))
-        counts = vectors.mapInArrow(_histogram(ids, queries, low, width, need), "query int, bin int, n long")
+        counts = vectors.mapInArrow(_histogram(ids, queries, low, high, width, need), "query int, bin int, n long")
         counts = counts.groupBy("query", "bin").agg(F.sum("n").alias("n"))
         above = F.sum("n").over(Window.partitionBy("query").orderBy(F.desc("bin"))) - F.col("n")
         wanted = vectors.sparkSession.createDataFrame([(i, int(x)) for i, x in enumerate(need)], "query int, need long")
