@@ -15,6 +15,7 @@ from gaugewise.llm.packing import pack_documents
 from gaugewise.llm.quality_rules import quality_verdicts
 from gaugewise.llm.shipping import ship_package
 from gaugewise.llm.top_k import nearest
+from gaugewise.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +82,11 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 ORACLES["op5_exact_topk"] = """
 with v as (
     select vec_id, [floor(256 * x::double) for x in embedding] as e from embeddings
