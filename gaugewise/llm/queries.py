@@ -12,6 +12,7 @@ from gaugewise.llm.line_dedup import without_repeated_lines
 from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
 from gaugewise.llm.packing import pack_documents
+from gaugewise.llm.personal_data import find_personal_data
 from gaugewise.llm.quality_rules import quality_verdicts
 from gaugewise.llm.shipping import ship_package
 from gaugewise.llm.top_k import nearest
@@ -87,6 +88,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_personal_data")
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op5_exact_topk"] = """
 with v as (
     select vec_id, [floor(256 * x::double) for x in embedding] as e from embeddings
