@@ -6,8 +6,8 @@ are candidates, and every link is confirmed on the full shingle sets.
 
 Copies with equal sets become one class before any bucket is formed. In a bucket nobody is paired with everybody:
 members meet the bucket's pivots, the members that share most buckets with others, and once a round has joined
-components only members of different components meet again. What pivots leave apart is compared pair by pair, so no
-colliding pair of two components stays unconfirmed.
+components only members of different components meet again. What pivots leave apart is a crowd of texts that are alike,
+mostly not alike enough; its sets are compared in blocks, so no colliding pair of two components stays unconfirmed.
 """
 
 from __future__ import annotations
@@ -26,7 +26,10 @@ SHINGLE = 5
 SIMILAR = 75  # per cent
 PERMUTATIONS = 126
 PER_BAND = 3
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
+CROWD_BLOCK = 256  # documents
+CROWD_COLUMNS = 8192  # shingles at a time
+BROADCAST_ROWS = 500_000
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 SHINGLES = "doc_id long, shingles array<long>"
 
@@ -125,6 +128,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * F.col("common") >= SIMILAR * (F.col("n") - F.col("common"))).select("a", "b")
 
 
+def _linked(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links (a, b) between the documents of two blocks that join different components; a spanning set of them."""
+    ids, comps, sizes, said = [], [], [], []
+    for side in (left, right):
+        ids.append(side.column("id").to_pylist())
+        comps.append(side.column("comp").to_pylist())
+        sets = side.column("shingles").combine_chunks()
+        sizes.append(np.diff(sets.offsets.to_numpy()))
+        said.append(sets.flatten().to_numpy())
+    common = np.intersect1d(said[0], said[1])
+    counts = np.zeros((len(ids[0]), len(ids[1])), np.float32)
+    for k in range(0, len(common), CROWD_COLUMNS):
+        part = common[k : k + CROWD_COLUMNS]
+        dense = []
+        for side in (0, 1):
+            at = np.minimum(np.searchsorted(part, said[side]), len(part) - 1)
+            own = part[at] == said[side]
+            holds = np.zeros((len(sizes[side]), len(part)), np.float32)
+            holds[np.repeat(np.arange(len(sizes[side])), sizes[side])[own], at[own]] = 1
+            dense.append(holds)
+        counts += dense[0] @ dense[1].T
+    near = 100 * counts >= SIMILAR * (sizes[0][:, None] + sizes[1][None, :] - counts)
+    root = {c: c for c in (*comps[0], *comps[1])}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    out: tuple[list[int], list[int]] = ([], [])
+    for i, j in zip(*np.nonzero(near), strict=True):
+        x, y = find(comps[0][i]), find(comps[1][j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out[0].append(ids[0][i])
+            out[1].append(ids[1][j])
+    return pa.table([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+
+
+def _crowd_links(active: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every link between components that meet in a bucket, where pivots found none.
+
+    Such texts form crowds, alike but mostly not alike enough. A crowd's documents are dealt into blocks of about
+    `CROWD_BLOCK`, and blocks meet in pairs: all sets are compared, in bounded pieces, and no pair of documents is a row.
+    """
+    hub = active.groupBy("key").agg(F.min("id").alias("hub"))
+    crowds = components(active.join(hub, "key").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    crowds = crowds.withColumnRenamed("comp", "crowd")
+    blocks = crowds.groupBy("crowd").agg(F.ceil(F.count("*") / CROWD_BLOCK).alias("blocks"))
+    comps = active.select("id", "comp").distinct()
+    docs = crowds.join(blocks, "crowd").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).join(comps, "id")
+    docs = docs.join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id")
+    docs = stored(docs.select("crowd", "block", "blocks", "id", "comp", "shingles"), "crowds")
+    i, j = F.sequence(F.lit(0).cast("long"), "block"), F.sequence("block", F.col("blocks") - 1)
+    left = docs.select("crowd", F.col("block").alias("i"), F.explode(j).alias("j"), "id", "comp", "shingles")
+    right = docs.select("crowd", F.explode(i).alias("i"), F.col("block").alias("j"), "id", "comp", "shingles")
+    met = left.groupBy("crowd", "i", "j").cogroup(right.groupBy("crowd", "i", "j"))
+    return met.applyInArrow(_linked, "a long, b long")
+
+
 def groups(signatures: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, comp): for each class of equal shingle sets with a link, named by its smallest doc_id, its component.
 
@@ -133,12 +196,14 @@ def groups(signatures: DataFrame, docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     classes = signatures.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles")
     classes = classes.agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
-    entries = stored(classes.select("id", F.explode("bands").alias("key")).distinct(), "bands")
+    entries = stored(classes.select("id", F.explode("bands").alias("key")), "bands")
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = entries.join(shared, "key")
     weight = members.groupBy("id").agg(F.sum("n").alias("weight"))
     members = stored(members.select("key", "id").join(weight, "id").select("key", "id", "weight"), "members")
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    ids = stored(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
+    if ids.count() <= BROADCAST_ROWS:  # else both sides are shuffled
+        ids = F.broadcast(ids)
     wanted = _docs(docs).join(ids, "doc_id")
     sets = wanted.mapInArrow(_shingles, SHINGLES).groupBy("doc_id").agg(F.min_by("shingles", F.size("shingles")).alias("shingles"))
     sets = stored(sets, "shingles")
@@ -154,16 +219,17 @@ def groups(signatures: DataFrame, docs: DataFrame) -> DataFrame:
             break
         if turn < PIVOT_ROUNDS:
             free = active.join(used, ["key", "id"], "left_anti")
-            pivots = free.groupBy("key").agg(F.max_by(F.struct("id", "comp"), F.struct("weight", -F.col("id"))).alias("p"))
-            pivots = stored(pivots.select("key", F.col("p.id").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
+            pivots = free.groupBy("key").agg(F.max_by(F.struct("id", "comp", "weight"), F.struct("weight", -F.col("id"))).alias("p"))
+            pivots = stored(pivots.select("key", F.col("p.id").alias("pivot"), F.col("p.comp").alias("pivot_comp"), F.col("p.weight").alias("most")), "pivots")
             used = used.union(pivots.select("key", F.col("pivot").alias("id")))
-            met = active.join(pivots, "key").filter("comp <> pivot_comp")
-            pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+            # each member meets one pivot, the best that its buckets offer
+            met = active.join(pivots, "key").filter("comp <> pivot_comp").groupBy("id")
+            met = met.agg(F.max_by("pivot", F.struct("most", -F.col("pivot"))).alias("pivot"))
+            pairs = stored(met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
+            fresh = _confirmed(pairs, sets)
         else:
-            rest = active.join(used, ["key", "id"], "left_anti")
-            other = rest.select("key", F.col("id").alias("b"), F.col("comp").alias("other"))
-            pairs = rest.join(other, "key").filter("id < b and comp <> other").select(F.col("id").alias("a"), "b")
-        fresh = stored(_confirmed(pairs.distinct(), sets), "confirmed")
+            fresh = _crowd_links(active, sets)
+        fresh = stored(fresh, "confirmed")
         if not fresh.isEmpty():
             found = found.union(fresh)
             labels = components(found)
