@@ -174,7 +174,7 @@ def learn_rules(statistics: DataFrame, labels: DataFrame) -> list[Rule]:
     rows = statistics.filter("not base_failed").select("doc_id", *FEATURES).join(known, "doc_id")
     rows = stored(rows.withColumn("grows", F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2), "labelled-statistics")
     cuts, rules = _cuts(rows), []
-    while len(rules) < MAX_RULES:
+    while any(cuts.values()) and len(rules) < MAX_RULES:
         left = rows.filter(decision(rules)) if rules else rows
         rule = _grow(left.filter("grows"), cuts)
         if not rule:
