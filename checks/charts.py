@@ -114,17 +114,17 @@ span as (select year(min(sample_date)) as y0, year(max(sample_date)) as y1 from
 @query(
     "chart_flow",
     f"""select station_name, sample_date, daily_flow_cms, concat_ws('_', {SAFE}, 'FLOW') as output_key from (
-        select * from series
+        select * from own
         union all select d.station_name, d.sample_date, null from (select station_name,
             unnest(generate_series(min(sample_date)::timestamp, max(sample_date)::timestamp, interval 1 day))::date as sample_date
-            from series group by station_name) d
-          where not exists (select 1 from series s where s.station_name is not distinct from d.station_name
+            from own group by station_name) d
+          where not exists (select 1 from own s where s.station_name is not distinct from d.station_name
             and s.sample_date = d.sample_date)), span
       where sample_date between make_date(y0 - 1, 1, 1) and make_date(y1 + 1, 1, 1)""",
-    ctes=SERIES,
+    ctes=SERIES + ", own as (select * from series where station_name in (select station_name from fin where station_name is not null))",
 )
 def _(r: Roles):
-    return charts.flow_rows(r.named_flow(), r.observations())
+    return charts.flow_rows(r.named_flow(), r.finished())
 
 
 def panels_sql(source: str, panels: tuple[str, ...], non_flux: tuple[str, ...], ending: str, digits: int) -> str:
@@ -213,19 +213,17 @@ def _(r: Roles):
 
 @query(
     "station_nested",
-    """select station, count(*) as n_rows, round(sum(measurement_value), 3) as total,
+    """select station, year(sample_date)::bigint as year, count(*) as n_rows, round(sum(measurement_value), 3) as total,
       count(distinct (sample_date, variable_name, measurement_value, measurement_flag)) as n_entries from obs group by all""",
     digits=3,
 )
 def _(r: Roles):
     cols = ["station", "sample_date", "variable_name", "measurement_value", "measurement_flag"]
-    nested = charts.nest_rows(r.observations().select(*cols), ["station"], part_size=100)
-    sums = nested.selectExpr(
+    nested = charts.nest_rows(r.observations().select(*cols, F.year("sample_date").alias("year")), ["station", "year"])
+    return nested.selectExpr(
         "station",
-        "aggregate(data, 0L, (a, x) -> a + x.n_rows) as n",
-        "aggregate(data, 0D, (a, x) -> a + coalesce(x.measurement_value, 0D) * x.n_rows) as v",
-        "size(data) as k",
-    )
-    return sums.groupBy("station").agg(
-        F.sum("n").alias("n_rows"), F.sum("v").alias("total"), F.sum("k").alias("n_entries")
+        "year",
+        "aggregate(data, 0L, (a, x) -> a + x.n_rows) as n_rows",
+        "aggregate(data, 0D, (a, x) -> a + coalesce(x.measurement_value, 0D) * x.n_rows) as total",
+        "cast(size(data) as long) as n_entries",
     )

@@ -185,25 +185,18 @@ def _(r: Roles):
     )
 
 
-PART = 40
-
-
 @query(
     "missing_flow_month",
-    f"""select month_year, station, part, count(*) as n_rows, string_agg(d, ',' order by d, v) as sample_dates,
-      string_agg(v, ',' order by d, v) as variable_names from (
-        select month_year, station, sample_date::varchar as d, variable_name as v,
-          (row_number() over (partition by month_year, station order by sample_date, variable_name) - 1) // {PART} as part
-        from fin where daily_flow_cms is null) group by all""",
+    """select month_year, station, sample_date, variable_name, count(*) as n_rows
+      from fin where daily_flow_cms is null group by all""",
 )
 def _(r: Roles):
-    return linkage.missing_flow_by_month(r.finished(), part_size=PART)
+    return linkage.missing_flow_by_month(r.finished())
 
 
 @query(
     "missing_flow_year",
-    """select station, year, 0 as part, count(*) as n_rows, string_agg(variable_name, ',' order by variable_name, month_abb)
-        as variable_names, string_agg(month_abb, ',' order by variable_name, month_abb) as months
+    """select station, year, variable_name, month_abb, count(*) as n_rows
       from fin where daily_flow_cms is null group by all""",
 )
 def _(r: Roles):

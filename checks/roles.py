@@ -278,7 +278,7 @@ with raw as (
   select station_name, variable_name, sample_date, ev as measurement_value, dc as detection_condition, year,
     case when month(sample_date) in (5, 6, 7) then 'high flow' when month(sample_date) in (8, 9, 10) then 'open water'
          else 'under ice' end as season, daily_flow_cms, unit_code
-  from eff where ev is not null
+  from eff where ev is not null and station_name is not null
 ), gauge as (
   select case when user_id % 50 = 0 then 'PC2A' else 'U' || user_id end as site, ts as reading_time,
     case when value <= 150 then value end as flow_cms from events

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +15,6 @@ FLOW_KEYS = {
     "sample_date": "date",
     "station_name": "station_name",
 }
-# entries of one joined list; longer lists continue in further parts
-LIST_PART = 10_000
 
 
 def flow_with_station(flow: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -32,10 +28,13 @@ def unmatched_flow_stations(flow_named: DataFrame) -> DataFrame:
 
 
 def require_matched(flow_named: DataFrame) -> DataFrame:
-    """The same table, after checking that every flow station has a sampling station."""
-    missing = [r[0] for r in unmatched_flow_stations(flow_named).limit(20).collect()]
-    if missing:
-        raise ValueError(f"flow stations without a sampling station, at least: {missing}")
+    """The same table, after checking that every flow station has a sampling station.
+
+    The error gives their exact number and the first by name; `unmatched_flow_stations` is the whole list.
+    """
+    missing = unmatched_flow_stations(flow_named).agg(F.count(F.lit(1)).alias("n"), F.min("flow_station_number").alias("first")).first()
+    if missing["n"]:
+        raise ValueError(f"{missing['n']} flow station(s) without a sampling station, the first is {missing['first']}")
     return flow_named
 
 
@@ -67,54 +66,14 @@ def missing_flow(obs: DataFrame) -> DataFrame:
     return obs.where("daily_flow_cms is null")
 
 
-def joined_lists(
-    df: DataFrame, keys: Sequence[str], lists: dict[str, str], order: Sequence[str], part_size: int = LIST_PART
-) -> DataFrame:
-    """Columns of a group's rows joined into comma-separated lists, in the order of `order`.
+def missing_flow_by_month(obs: DataFrame, station: str = "station") -> DataFrame:
+    """Per month and station the dates and variables of the samples without flow, each with its number of rows."""
+    return missing_flow(obs).groupBy("month_year", station, "sample_date", "variable_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
-    `lists` maps output columns to (text) columns; NULL is written as NA. Equal rows are counted before
-    anything is gathered, and a list longer than `part_size` continues in the next `part` of its group, so
-    no task ever holds more than one part.
-    """
-    entry = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(c) for c in order])
-    counted = df.groupBy(*keys, entry.alias("_entry")).agg(F.count(F.lit(1)).alias("_n"))
-    group = ", ".join(f"`{k}`" for k in keys)
-    placed = counted.withColumn("_end", F.expr(f"sum(_n) over (partition by {group} order by _entry)"))
-    # entry i fills positions [_end - _n, _end); cut them at the part borders
-    cut = placed.withColumn(
-        "part", F.expr(f"explode(sequence((_end - _n) div {part_size}, (_end - 1) div {part_size}))")
-    ).withColumn(
-        "_times",
-        F.expr(f"least(_end, (part + 1) * {part_size}) - greatest(_end - _n, part * {part_size})").cast("int"),
-    )
-    gathered = cut.groupBy(*keys, "part").agg(
-        F.array_sort(F.collect_list(F.struct("_entry", "_times"))).alias("_items"), F.sum("_times").alias("n_rows")
-    )
-    texts = [
-        F.expr(
-            f"array_join(flatten(transform(_items, x -> array_repeat(x._entry.`{source}`, x._times))), ',')"
-        ).alias(name)
-        for name, source in lists.items()
-    ]
-    return gathered.select(*keys, "part", "n_rows", *texts)
-
-
-def missing_flow_by_month(obs: DataFrame, station: str = "station", part_size: int = LIST_PART) -> DataFrame:
-    """Dates and variables of the samples without flow, per month and station."""
-    return joined_lists(
-        missing_flow(obs), ["month_year", station],
-        {"sample_dates": "sample_date", "variable_names": "variable_name"},
-        ["sample_date", "variable_name"], part_size,
-    )
 
-
-def missing_flow_by_year(obs: DataFrame, station: str = "station", part_size: int = LIST_PART) -> DataFrame:
-    """Variables and months of the samples without flow, per station and year."""
-    return joined_lists(
-        missing_flow(obs), [station, "year"],
-        {"variable_names": "variable_name", "months": "month_abb"},
-        ["variable_name", "month_abb"], part_size,
-    )
+def missing_flow_by_year(obs: DataFrame, station: str = "station") -> DataFrame:
+    """Per station and year the variables and months of the samples without flow, each with its number of rows."""
+    return missing_flow(obs).groupBy(station, "year", "variable_name", "month_abb").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def stations_with_usable_flow(obs: DataFrame, station: str = "station_name") -> DataFrame:

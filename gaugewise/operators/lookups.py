@@ -1,4 +1,4 @@
-"""Small tables: literal ones, and computed ones whose size is checked before they are broadcast."""
+"""Literal tables, and joins in which NULL keys match; computed lookups are left to adaptive execution."""
 
 from __future__ import annotations
 
@@ -17,18 +17,6 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     return F.broadcast(spark.createDataFrame(list(rows), schema))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a computed lookup when it has at most `max_rows` rows, else leave it to a shuffled join.
-
-    Runs a job that fetches at most `max_rows + 1` rows. Without it Spark plans a sort-merge join from the
-    size of the lookup's source and shuffles the large side before adaptive execution sees the real size.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def same(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str]) -> Column:
     """NULL-safe equality over key lists: NULL keys match each other."""
     condition = None

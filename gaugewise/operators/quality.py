@@ -49,12 +49,13 @@ def unit_report(df: DataFrame) -> DataFrame:
 
 def unit_of(df: DataFrame, variable: str) -> str | None:
     """The unit of a variable; an error when it has none or several."""
-    units = [r[0] for r in df.where(F.col("variable_name") == variable).select("unit_code").distinct().take(20)]
-    if not units:
-        raise ValueError(f"no unit found for variable {variable}")
-    if len(units) > 1:
-        raise ValueError(f"several units found for variable {variable}: {', '.join(sorted(map(str, units)))}")
-    return units[0]
+    report = unit_report(df.where(F.col("variable_name") == variable)).first()
+    if report is None or not report["n_units"]:
+        raise ValueError(f"{variable} has no unit")
+    if report["n_units"] > 1 or report["has_missing_unit"]:
+        missing = " and rows without one" if report["has_missing_unit"] else ""
+        raise ValueError(f"{variable} is reported in {report['n_units']} unit(s): {report['units']}{missing}")
+    return report["units"]
 
 
 def unknown_flags(df: DataFrame) -> DataFrame:

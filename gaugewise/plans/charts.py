@@ -31,7 +31,7 @@ from gaugewise.functions.scale import scaled_value
 from gaugewise.functions.text import output_key, panel_title
 from gaugewise.operators.boxes import box_outliers, box_stats, log_box_stats
 from gaugewise.operators.conform import union_all
-from gaugewise.operators.coverage import flow_series, missing_panels, period, task_grid
+from gaugewise.operators.coverage import flow_series, missing_panels, period, stations_with_flow, task_grid
 from gaugewise.operators.flow import fill_days
 from gaugewise.operators.flux import flux, flux_unit
 from gaugewise.operators.guidelines import guideline_bounds, overlay
@@ -119,9 +119,10 @@ def scatter_rows(view: DataFrame) -> DataFrame:
 
 
 def flow_rows(flow: DataFrame, obs: DataFrame) -> DataFrame:
-    """Daily flow with missing days as NULL, cut to the year axis of the observations."""
+    """Daily flow of the sampled stations with missing days as NULL, cut to the year axis of the observations."""
     first, last = year_window(obs)
-    filled = fill_days(flow_series(flow), ["station_name"], "sample_date")
+    sampled = flow.join(stations_with_flow(obs, flow), "station_name", "left_semi")
+    filled = fill_days(flow_series(sampled), ["station_name"], "sample_date")
     return filled.where(
         (F.col("sample_date") >= year_start(first)) & (F.col("sample_date") <= year_start(last))
     ).withColumn("output_key", output_key("station_name", F.lit("FLOW")))
@@ -229,17 +230,15 @@ def draft_rows(obs: DataFrame, value: str, ranks: DataFrame, cutoff_year: int =
     )
 
 
-def nest_rows(df: DataFrame, keys: Sequence[str], part_size: int = 10_000) -> DataFrame:
+def nest_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of a group as lists of structs, for consumers that take a group at a time.
 
-    Equal rows are counted first and a large group is spread over parts by a hash of its rows, so a list
-    stays near `part_size` entries; every entry carries the number of equal rows it stands for (`n_rows`).
+    Equal rows are one entry with their number (`n_rows`). Keys must name small groups, such as a station and a day's
+    or a year's results; there is one row per group at any size.
     """
     others = [c for c in df.columns if c not in keys]
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n_rows"))
-    sizes = df.groupBy(*keys).agg((F.floor(F.count(F.lit(1)) / part_size) + 1).alias("_parts"))
-    parted = join_same(counted, sizes, list(keys)).withColumn("part", F.pmod(F.xxhash64(*others), F.col("_parts")))
-    return parted.groupBy(*keys, "part").agg(F.collect_list(F.struct(*others, "n_rows")).alias("data"))
+    return counted.groupBy(*keys).agg(F.collect_list(F.struct(*others, "n_rows")).alias("data"))
 
 
 def ordered_bounds(bounds: DataFrame) -> DataFrame:

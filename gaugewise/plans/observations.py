@@ -10,7 +10,7 @@ from gaugewise.operators.censoring import detection_condition, effective_value
 
 
 def observation_view(obs: DataFrame, station: str | None = None, variable: str | None = None) -> DataFrame:
-    """Usable results with effective value, detection condition, year and water season.
+    """Usable results of named stations with effective value, detection condition, year and water season.
 
     Restricted to one station and one variable only where they are given.
     """
@@ -28,7 +28,7 @@ def observation_view(obs: DataFrame, station: str | None = None, variable: str |
         calendar.season("sample_date", "water").alias("season"),
         "daily_flow_cms",
         "unit_code",
-    ).where("measurement_value is not null")
+    ).where("measurement_value is not null and station_name is not null")
 
 
 def ordered(view: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,12 +25,3 @@ def local_session(
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; a fresh local folder only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        configured = tempfile.mkdtemp(prefix="gaugewise-checkpoint-")
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured

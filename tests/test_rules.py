@@ -10,7 +10,7 @@ from gaugewise.functions import calendar, rules, scale, text
 from gaugewise.operators import boxes, censoring, components, conform, coverage, flow, linkage, quality
 from gaugewise.operators.flux import daily_flux, flux
 from gaugewise.operators.guidelines import guideline_bounds
-from gaugewise.operators.lookups import broadcast_if_small, join_same, literal_table
+from gaugewise.operators.lookups import join_same, literal_table
 from gaugewise.operators.ranking import percentile_category
 from gaugewise.operators.summary import overview
 from gaugewise.schema import GUIDELINES, LIMIT_DETAILS, LIMITS
@@ -181,10 +181,7 @@ def test_join_same_matches_missing_keys(spark):
     assert sorted(map(tuple, join_same(left, right, ["k"]).collect()), key=str) == [("x", 2, None), (None, 1, 10)]
 
 
-def test_computed_lookup_is_broadcast_only_when_small(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert broadcast_if_small(small, 100).count() == 10
-    assert broadcast_if_small(small, 5) is small
+def test_literal_tables_are_bounded(spark):
     with pytest.raises(ValueError):
         literal_table(spark, [(i,) for i in range(30_000)], "k int")
 
@@ -243,18 +240,16 @@ def test_flow_grid_equals_wide_then_long(spark):
 
 def test_unmatched_flow_station_stops(spark):
     named = spark.createDataFrame([("A", "x"), ("B", None)], "flow_station_number string, station_name_wq string")
-    with pytest.raises(ValueError, match="B"):
+    with pytest.raises(ValueError, match="1 flow station.*B"):
         linkage.require_matched(named)
     assert linkage.require_matched(named.where("station_name_wq is not null")).count() == 1
 
 
-def test_long_lists_continue_in_parts(spark):
-    rows = [("g", f"{i // 3:03d}") for i in range(100)] + [("g", None)]
-    df = spark.createDataFrame(rows, "k string, v string")
-    parts = linkage.joined_lists(df, ["k"], {"vs": "v"}, ["v"], part_size=30).orderBy("part").collect()
-    assert [r.n_rows for r in parts] == [30, 30, 30, 11]
-    joined = ",".join(r.vs for r in parts).split(",")
-    assert joined == sorted("NA" if v is None else v for _, v in rows)
+def test_missing_flow_keeps_one_grain(spark):
+    rows = [("g", "2020-01-01", f"v{i % 7}", 2020, "Jan", None) for i in range(100)] + [("g", "2020-01-01", "v0", 2020, "Jan", 1.0)]
+    df = spark.createDataFrame(rows, "station string, sample_date string, variable_name string, year int, month_abb string, daily_flow_cms double")
+    by_year = linkage.missing_flow_by_year(df).collect()
+    assert len(by_year) == 7 and sum(r.n_rows for r in by_year) == 100
 
 
 def test_duplicates(spark):
