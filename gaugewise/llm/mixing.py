@@ -23,9 +23,10 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_PASSES = 3
+TASK_SHARDS = 64
 MAX_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
-PART_DOCS = 20_000  # documents of one source that are numbered in one task
+PART_DOCS = 5_000  # documents of one source that are numbered in one task
 
 
 def targets(sizes: list[int], weights: list[float], total: float) -> list[float]:
@@ -155,6 +156,8 @@ def slots(spark: SparkSession, plan: list[dict], seed: int) -> DataFrame:
                     block[turn == t] = permuted(at[turn == t], int(blocks[number]), seed * 1_000_003 + int(number) * 101 + int(t))
                 yield pd.DataFrame({"shard": shard, "slot": j - first, "number": number, "pass": turn, "block": block})
 
+    # counts are few bytes and slots many: adaptive execution would take them for small, so the tasks' number is set here
+    placed = placed.repartition(max(1, -(-shards // TASK_SHARDS)), "shard")
     return placed.mapInPandas(name_blocks, "shard long, slot long, number int, pass int, block long")
 
 
@@ -184,7 +187,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     values = [(s["source"], s["number"], s["docs"], s["size"], s["target"]) for s in plan]
     sources = spark.createDataFrame(values, "name string, number int, docs long, source_size long, target double")
     placed = stored(_placed(rows, sources), "placed-documents")
-    return placed, slots(spark, plan, seed).join(_pieces(placed), ["number", "block"])
+    return placed, slots(spark, plan, seed).hint("merge").join(_pieces(placed), ["number", "block"])
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
