@@ -105,16 +105,28 @@ def _docs(docs: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, comp): for every end of `edges` (a, b) the smallest id that its links reach."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("comp")), "labels")
+    """(id, comp): for every end of `edges` (a, b) the smallest id that its links reach.
+
+    Each round hooks every end to its least neighbour and that one's own, then moves the links to the new names and drops
+    those inside one component, so later rounds read only the links that still matter.
+    """
+    links = stored(edges.select("a", "b").filter("a <> b").distinct(), "links")
+    labels = None
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
-        hooked = labels.join(near, "id").select("id", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
-        target = labels.select(F.col("id").alias("comp"), F.col("comp").alias("jump"))
-        moved = stored(hooked.join(target, "comp").select("id", "was", F.least("comp", "jump").alias("comp")), "labels")
-        labels = moved.select("id", "comp")
-        if moved.filter("comp <> was").isEmpty():
+        ends = links.select("a", "b").union(links.select("b", "a"))
+        hooks = ends.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("comp"))
+        target = hooks.select(F.col("id").alias("comp"), F.col("comp").alias("jump"))
+        hooks = stored(hooks.join(target, "comp").select("id", F.col("jump").alias("comp")), "hooks")
+        if labels is None:
+            labels = hooks
+        else:
+            moved = hooks.select(F.col("id").alias("comp"), F.col("comp").alias("new"))
+            labels = stored(labels.join(moved, "comp", "left").select("id", F.coalesce("new", "comp").alias("comp")), "labels")
+        x = hooks.select(F.col("id").alias("a"), F.col("comp").alias("x"))
+        y = hooks.select(F.col("id").alias("b"), F.col("comp").alias("y"))
+        left = links.join(x, "a").join(y, "b").filter("x <> y")
+        links = stored(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        if links.isEmpty():
             return labels
 
 
