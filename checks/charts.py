@@ -183,16 +183,15 @@ def _(r: Roles):
     "task_grid",
     """select s.station_name, v.variable_name, coalesce(n, 0) as n_results, coalesce(nf, 0) as n_with_flow,
       case when n is null then 'Unavailable' end as concentration_label,
-      case when coalesce(nf, 0) = 0 then 'Unavailable' end as flux_label
+      case when coalesce(nx, 0) = 0 then 'Unavailable' end as flux_label
       from (select distinct station_name from fin where station_name is not null) s
       cross join (select distinct variable_name from fin) v
-      left join (select station_name, variable_name, count(*) as n, count(daily_flow_cms) as nf from vw
-        where year = 1996 and measurement_value > 49 and month(sample_date) < 3 group by all) c
+      left join (select station_name, variable_name, count(*) as n, count(daily_flow_cms) as nf,
+          count(*) filter (where daily_flow_cms is not null and unit_code in ('mg/L', 'No/100 mL')) as nx from vw group by all) c
         using (station_name, variable_name)""",
 )
 def _(r: Roles):
-    few = r.view().where("year = 1996 and measurement_value > 49 and month(sample_date) < 3")
-    return charts.chart_tasks(r.finished(), few)
+    return charts.chart_tasks(r.finished(), r.view())
 
 
 @query(

@@ -31,11 +31,8 @@ def _(r: Roles):
     raw = r.raw_observations().withColumnsRenamed({"station": "SiteName", "variable_name": "Parameter Name"})
     df = conform.with_reach(clean_names(raw.drop("unit_code")), "range", REACHES)
     renames = {"site_name": "station", "parameter_name": "variable_name", "raw_unit": "unit_code"}
-    parts = [
-        conform.conform(df.where(F.col("agency") == a), renames, f"Agency of {a}")
-        for a in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-    ]
-    out = conform.standard_units(conform.recode_variables(conform.union_all(*parts), VARIABLE_NAMES))
+    named = conform.conform(df, renames, F.concat(F.lit("Agency of "), F.col("agency")))
+    out = conform.standard_units(conform.recode_variables(named, VARIABLE_NAMES))
     return conform.upper_names(out).groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -142,14 +139,14 @@ def _(r: Roles):
       union all select agency, station, sample_date, variable_name, null, measurement_value from obs
         where agency = 'AFRICA'
       union all select agency, station, sample_date, variable_name, measurement_value, null from obs
-        where agency = 'EUROPE'""",
+        where agency is null or agency not in ('ASIA', 'AFRICA')""",
 )
 def _(r: Roles):
     cols = ["agency", "station", "sample_date", "variable_name"]
     obs = r.observations()
     first = obs.where("agency = 'ASIA'").select(*cols, "measurement_value")
     second = obs.where("agency = 'AFRICA'").select(F.col("measurement_value").alias("extra"), *reversed(cols))
-    third = obs.where("agency = 'EUROPE'").select("measurement_value", *cols)
+    third = obs.where("agency is null or agency not in ('ASIA', 'AFRICA')").select("measurement_value", *cols)
     return conform.union_all(first, second, third)
 
 
@@ -170,20 +167,18 @@ def _(r: Roles):
 
 @query(
     "names_intersect",
-    "select s_name as name from supplier where s_acctbal > 0 intersect select station from raw where agency = 'ASIA'",
+    "select s_name as name from supplier intersect select station from raw",
 )
 def _(r: Roles):
-    obs = r.observations().where("agency = 'ASIA'")
-    return conform.names_in_both(r.table("supplier").where("s_acctbal > 0"), "s_name", obs, "station")
+    return conform.names_in_both(r.table("supplier"), "s_name", r.observations(), "station")
 
 
 @query(
     "names_missing",
-    "select n_name as name from nation except select range from obs where measurement_flag = 'X' and month(sample_date) = 2 and variable_name = 'LARGE'",
+    "select o_orderkey as name from orders except select l_orderkey from lineitem",
 )
 def _(r: Roles):
-    obs = r.observations().where("measurement_flag = 'X' and month(sample_date) = 2 and variable_name = 'LARGE'")
-    return conform.names_only_in_first(r.table("nation"), "n_name", obs, "range")
+    return conform.names_only_in_first(r.table("orders"), "o_orderkey", r.table("lineitem"), "l_orderkey")
 
 
 @query(

@@ -102,7 +102,7 @@ def _(r: Roles):
     f"""select station, variable_name, year, sample_date, measurement_value, round(median, 6) as median,
       round(perc_bin, 6) as perc_bin, {CATEGORY_SQL} as percentile
       from ranks full join (select station, variable_name, year(sample_date) as year, sample_date, measurement_value
-        from obs where agency = 'ASIA') o using (station, variable_name, year)""",
+        from obs) o using (station, variable_name, year)""",
     ctes=rank_sql(SUB_YEAR, GROUP, "measurement_max_dl_sub", "year <> 2001", False, False, "year <> 2001"),
 )
 def _(r: Roles):
@@ -110,7 +110,7 @@ def _(r: Roles):
         r.substituted().withColumn("year", F.year("sample_date")), GROUP, value="measurement_max_dl_sub",
         cutoff_year=CUTOFF, history="not_equal", floor=None, zero_history_is_missing=False, rank_cutoff_year=False,
     )
-    obs = r.observations().where("agency = 'ASIA'").select(
+    obs = r.observations().select(
         *GROUP, F.year("sample_date").alias("year"), "sample_date", "measurement_value"
     )
     return attach_ranks(obs, ranks, GROUP, how="full")
@@ -260,16 +260,28 @@ BOUND_SQL = """bounds as (select source, variable_name, unit_code, exposure_dura
     """select *, case bound when 'Upper acute' then 1 when 'Upper chronic' then 2 when 'Lower chronic' then 3 end::bigint
       as bound_rank, case when variable_name in ('PH', 'SODIUM ADSORPTION RATIO (CALCD.)') then variable_name
       else variable_name || ' (' || unit_code || ')' end as facet_title from bounds""",
-    ctes=BOUND_SQL,
+    ctes="""priced as (select 'price' as source, p_type as variable_name, 'mg/L' as unit_code,
+      case when p_size <= 25 then 'chronic' else 'acute' end as exposure_duration,
+      min(case when p_size between 6 and 25 then p_retailprice end) as lower_value, max(p_retailprice) as upper_value
+      from part group by all), """ + BOUND_SQL.replace("unpivot guide", "unpivot priced"),
 )
 def _(r: Roles):
-    return guideline_bounds(r.guidelines())
+    priced = r.table("part").selectExpr(
+        "'price' as source", "p_type as variable_name", "'mg/L' as unit_code",
+        "case when p_size <= 25 then 'chronic' else 'acute' end as exposure_duration", "p_size", "p_retailprice",
+    )
+    bounds = priced.groupBy("source", "variable_name", "unit_code", "exposure_duration").agg(
+        F.expr("min(case when p_size between 6 and 25 then p_retailprice end) as lower_value"),
+        F.max("p_retailprice").alias("upper_value"),
+    )
+    return guideline_bounds(bounds)
 
 
 @query(
     "guideline_overlay",
-    """select station_name, sample_date, variable_name, unit_code, measurement_value, bound, guideline_value,
-      measurement_value > guideline_value as above from vw left join bounds using (variable_name, unit_code)""",
+    """select station_name, sample_date, vw.variable_name, vw.unit_code, measurement_value, bound, guideline_value,
+      measurement_value > guideline_value as above from vw left join bounds
+      on vw.variable_name is not distinct from bounds.variable_name and vw.unit_code is not distinct from bounds.unit_code""",
     ctes=BOUND_SQL,
 )
 def _(r: Roles):

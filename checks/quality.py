@@ -49,16 +49,15 @@ def _(r: Roles):
     """select station, variable_name, n from (select distinct station from rare) cross join
       (select distinct variable_name from rare) left join
       (select station, variable_name, count(*) as n from rare group by all) using (station, variable_name)""",
-    ctes="rare as (select * from obs where agency = 'ASIA' and measurement_flag = 'X' and month(sample_date) = 2)",
+    ctes="rare as (select station, variable_name || ' ' || floor(price / 2000)::bigint as variable_name from raw)",
 )
 def _(r: Roles):
-    rare = r.observations().where("agency = 'ASIA' and measurement_flag = 'X' and month(sample_date) = 2")
-    return coverage.combination_counts(rare)
+    banded = "concat(variable_name, ' ', cast(floor(price / 2000) as bigint)) as variable_name"  # some bands miss at a station
+    return coverage.combination_counts(r.raw_observations().selectExpr("station", banded))
 
 
 PRESENT = f"""present as (select distinct station_name, case when variable_name in ({sql_list(LINEAR_ONLY)}) then variable_name
-  else variable_name || ' (' || unit_code || ')' end as facet_title from vw where station_name is not null
-  and measurement_value > 49 and month(sample_date) = 3)"""
+  else variable_name || ' (' || unit_code || ')' end as facet_title from vw)"""
 
 
 @query(
@@ -73,6 +72,5 @@ PRESENT = f"""present as (select distinct station_name, case when variable_name
     ctes=PRESENT,
 )
 def _(r: Roles):
-    rows = r.view().where("station_name is not null and measurement_value > 49 and month(sample_date) = 3")
-    titles = rows.select("station_name", panel_title("variable_name", "unit_code", LINEAR_ONLY).alias("facet_title"))
+    titles = r.view().select("station_name", panel_title("variable_name", "unit_code", LINEAR_ONLY).alias("facet_title"))
     return coverage.missing_panels(titles.distinct(), coverage.flow_series(r.named_flow()), CONCENTRATION_PANELS)

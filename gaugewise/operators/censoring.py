@@ -57,7 +57,7 @@ def limit_differences(computed: DataFrame, chosen: DataFrame, keys: Sequence[str
     """Groups whose chosen limit differs from the computed one, or that only one of the two knows."""
     a = computed.select(*keys, F.col("max_dl").alias("computed_max_dl"))
     b = chosen.select(*keys, F.col("max_dl").alias("chosen_max_dl"))
-    return a.join(b, list(keys), "full").where("not (computed_max_dl <=> chosen_max_dl)")
+    return join_same(a, b, list(keys), "full").where("not (computed_max_dl <=> chosen_max_dl)")
 
 
 def substitute_limits(df: DataFrame, limits: DataFrame, keys: Sequence[str] = LIMIT_KEYS) -> DataFrame:

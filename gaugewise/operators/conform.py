@@ -19,13 +19,13 @@ def with_reach(df: DataFrame, station: str, reaches: tuple[Mapping[str, str], st
     return df.withColumn("range", recode(station, known, F.lit(default).cast("string")))
 
 
-def conform(df: DataFrame, renames: Mapping[str, str], agency: str) -> DataFrame:
-    """Rename to the template, add the agency and the two columns no source fills, order the columns."""
+def conform(df: DataFrame, renames: Mapping[str, str], agency: str | Column) -> DataFrame:
+    """Rename to the template, add the agency (a name, or a column of the source) and the two columns no source fills, order the columns."""
     return (
         df.withColumnsRenamed(dict(renames))
         .withColumns(
             {
-                "agency": F.lit(agency),
+                "agency": agency if isinstance(agency, Column) else F.lit(agency),
                 "detection_limit": F.lit(None).cast("double"),
                 "flow_cms": F.lit(None).cast("double"),
             }

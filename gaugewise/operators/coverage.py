@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugewise.fixed_values import COUNT_VARIABLE, FLOW_PANEL, NON_FLUX_PANELS, NOT_A_FLUX, UNAVAILABLE
+from gaugewise.fixed_values import COUNT_VARIABLE, FLOW_PANEL, NOT_A_FLUX, UNAVAILABLE
 from gaugewise.operators.lookups import join_same
 
 STATION = "station_name"
@@ -90,7 +90,3 @@ def missing_panels(
     grid = present.select(station).distinct().select(station, expected_panels(panels).alias("facet_rank", "facet_title"))
     text = F.when(F.col("facet_title").isin(list(non_flux)), F.lit(NOT_A_FLUX)).otherwise(F.lit(UNAVAILABLE))
     return join_same(grid, have, [station, "facet_title"], "left_anti").withColumn("text", text)
-
-
-def missing_flux_panels(present: DataFrame, flow: DataFrame, panels: Sequence[str]) -> DataFrame:
-    return missing_panels(present, flow, panels, NON_FLUX_PANELS)

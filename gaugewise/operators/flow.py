@@ -20,7 +20,7 @@ STATION, DATE, VALUE = "flow_station_number", "date", "value"
 def with_station_details(flow: DataFrame, stations: DataFrame) -> DataFrame:
     """Station name and drainage area on a flow series keyed by `station_number`."""
     details = stations.select("station_number", "station_name", "drainage_area_gross")
-    return flow.join(details, "station_number", "left")
+    return join_same(flow, details, ["station_number"])
 
 
 def with_runoff(df: DataFrame, value: str = VALUE, area_km2: str = "drainage_area_gross") -> DataFrame:

@@ -16,6 +16,11 @@ def flux_unit(unit: str | Column) -> Column:
     return F.when(u == COUNT_UNIT, F.lit("No/s")).when(u.isNotNull(), F.lit("mg/s"))
 
 
+def has_flux(flow: str = "daily_flow_cms", unit: str = "unit_code") -> Column:
+    """Whether a row has flow and a unit that allows a flux."""
+    return F.col(flow).isNotNull() & F.col(unit).isin(list(FLUX_UNITS))
+
+
 def flux(
     df: DataFrame, value: str = "measurement_value", flow: str = "daily_flow_cms", unit: str = "unit_code"
 ) -> DataFrame:
@@ -26,7 +31,7 @@ def flux(
     """
     factor = F.when(F.col(unit) == COUNT_UNIT, F.lit(10)).otherwise(F.lit(1))
     return (
-        df.where(F.col(flow).isNotNull() & F.col(unit).isin(list(FLUX_UNITS)))
+        df.where(has_flux(flow, unit))
         .withColumns({"conc": F.col(value), "conc_unit": F.col(unit), "volume_conversion_factor": factor})
         .withColumns(
             {

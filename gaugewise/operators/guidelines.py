@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugewise.fixed_values import GUIDELINE_BOUNDS, TITLE_WITHOUT_UNIT
 from gaugewise.functions.text import panel_title
+from gaugewise.operators.lookups import join_same
 
 
 def guideline_bounds(guidelines: DataFrame, bare_titles: Sequence[str] = TITLE_WITHOUT_UNIT) -> DataFrame:
@@ -28,4 +29,4 @@ def guideline_bounds(guidelines: DataFrame, bare_titles: Sequence[str] = TITLE_W
 def overlay(results: DataFrame, bounds: DataFrame) -> DataFrame:
     """Each result next to the bounds of its variable and unit; results without a guideline stay."""
     slim = bounds.select("variable_name", "unit_code", "bound", "guideline_value")
-    return results.join(slim, ["variable_name", "unit_code"], "left")
+    return join_same(results, slim, ["variable_name", "unit_code"])

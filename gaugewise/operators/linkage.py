@@ -19,7 +19,7 @@ FLOW_KEYS = {
 
 def flow_with_station(flow: DataFrame, lookup: DataFrame) -> DataFrame:
     """Station names on the flow series; flow without a lookup entry stays."""
-    return flow.join(lookup.select(*LOOKUP_COLUMNS), "flow_station_number", "left")
+    return join_same(flow, lookup.select(*LOOKUP_COLUMNS), ["flow_station_number"])
 
 
 def unmatched_flow_stations(flow_named: DataFrame) -> DataFrame:

@@ -29,8 +29,15 @@ def same(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Se
 def join_same(
     left: DataFrame, right: DataFrame, on: Sequence[str] | dict[str, str], how: str = "left"
 ) -> DataFrame:
-    """NULL-safe join that keeps the left side's key columns; `on` may map left names to right names."""
+    """NULL-safe join that keeps the left side's key columns; `on` may map left names to right names.
+
+    A full join fills the keys of rows that only the right side has.
+    """
     pairs = dict(on) if isinstance(on, dict) else {c: c for c in on}
     renamed = right.withColumnsRenamed({b: f"_r_{b}" for b in pairs.values()})
     joined = left.join(renamed, same(left, renamed, list(pairs), [f"_r_{b}" for b in pairs.values()]), how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{b}" for b in pairs.values()])
+    if how in ("left_semi", "left_anti"):
+        return joined
+    if how == "full":
+        joined = joined.withColumns({a: F.coalesce(F.col(a), F.col(f"_r_{b}")) for a, b in pairs.items()})
+    return joined.drop(*[f"_r_{b}" for b in pairs.values()])

@@ -83,5 +83,5 @@ def attach_ranks(
     """Put each year's rank and category on the rows of that year."""
     slim = ranks.select(*group, year, "median", "perc_bin")
     if how == "full":
-        return slim.join(df, [*group, year], "full").withColumn("percentile", percentile_category("perc_bin"))
+        return join_same(slim, df, [*group, year], "full").withColumn("percentile", percentile_category("perc_bin"))
     return join_same(df, slim, [*group, year], how).withColumn("percentile", percentile_category("perc_bin"))

@@ -17,7 +17,6 @@ from gaugewise.fixed_values import (
     DETECTION_CONDITIONS,
     FLOW_PANEL,
     FLUX_PANELS,
-    GUIDELINE_BOUNDS,
     LINEAR_ONLY_VARIABLES,
     NON_FLUX_PANELS,
     PANEL_FIRST_DATE,
@@ -33,7 +32,7 @@ from gaugewise.operators.boxes import box_outliers, box_stats, log_box_stats
 from gaugewise.operators.conform import union_all
 from gaugewise.operators.coverage import flow_series, missing_panels, period, stations_with_flow, task_grid
 from gaugewise.operators.flow import fill_days
-from gaugewise.operators.flux import flux, flux_unit
+from gaugewise.operators.flux import flux, has_flux
 from gaugewise.operators.guidelines import guideline_bounds, overlay
 from gaugewise.operators.lookups import join_same
 from gaugewise.operators.ranking import attach_ranks, year_ranks
@@ -210,14 +209,14 @@ def flux_panels(
 def chart_tasks(obs: DataFrame, view: DataFrame) -> DataFrame:
     """Every station with every variable: rows available for its chart, and the label where there are none."""
     counted = view.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n_results"), F.count("daily_flow_cms").alias("n_with_flow")
+        F.count(F.lit(1)).alias("n_results"), F.count("daily_flow_cms").alias("n_with_flow"), F.count_if(has_flux()).alias("n_flux")
     )
     return join_same(task_grid(obs), counted, list(GROUP)).select(
         *GROUP,
         F.coalesce("n_results", F.lit(0).cast("long")).alias("n_results"),
         F.coalesce("n_with_flow", F.lit(0).cast("long")).alias("n_with_flow"),
         F.when(F.col("n_results").isNull(), F.lit(UNAVAILABLE)).alias("concentration_label"),
-        F.when(F.coalesce("n_with_flow", F.lit(0)) == 0, F.lit(UNAVAILABLE)).alias("flux_label"),
+        F.when(F.coalesce("n_flux", F.lit(0)) == 0, F.lit(UNAVAILABLE)).alias("flux_label"),
     )
 
 
@@ -239,11 +238,3 @@ def nest_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.groupBy(*keys).agg(F.collect_list(F.struct(*others, "n_rows")).alias("data"))
-
-
-def ordered_bounds(bounds: DataFrame) -> DataFrame:
-    return bounds.withColumn("bound_rank", category_rank("bound", GUIDELINE_BOUNDS))
-
-
-def flux_axis_title(variable: str = "variable_name", unit: str = "unit_code") -> Column:
-    return F.concat(F.col(variable), F.lit(" ("), flux_unit(unit), F.lit(")"))

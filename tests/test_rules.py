@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from gaugewise import fixed_values as fixed
 from gaugewise.functions import calendar, rules, scale, text
-from gaugewise.operators import boxes, censoring, components, conform, coverage, flow, linkage, quality
+from gaugewise.operators import boxes, censoring, components, conform, coverage, flow, linkage, quality, ranking
 from gaugewise.operators.flux import daily_flux, flux
 from gaugewise.operators.guidelines import guideline_bounds
 from gaugewise.operators.lookups import join_same, literal_table
 from gaugewise.operators.ranking import percentile_category
 from gaugewise.operators.summary import overview
+from gaugewise.plans import charts
 from gaugewise.schema import GUIDELINES, LIMIT_DETAILS, LIMITS
 
 D = dt.date
@@ -320,3 +321,36 @@ def test_overview_of_missing_values(spark):
     r = overview(df, ["variable_name"], "measurement_max_dl_sub", substituted=True).first()
     assert r.min_date is None and r.count_years == 2 and r.count_lflag2 is None and r.st_dev is None
     assert (r.count_samples, r.count_values, r.count_lflag, r.list_dls, r.median) == (2, 1, 1, [1.0], 1.0)
+
+
+def test_missing_keys_match_in_full_joins(spark):
+    ranks = spark.createDataFrame([(None, "a", 2000, 1.0, 0.5), ("s", "b", 2001, 2.0, 0.95)], "station string, variable_name string, year int, median double, perc_bin double")
+    rows = spark.createDataFrame([(None, "a", 2000, 7.0), ("t", "c", 2002, 8.0)], "station string, variable_name string, year int, v double")
+    got = {(r.station, r.variable_name, r.year, r.v, r.percentile) for r in ranking.attach_ranks(rows, ranks, how="full").collect()}
+    assert got == {
+        (None, "a", 2000, 7.0, "25th - 75th"), ("s", "b", 2001, None, ">90th"), ("t", "c", 2002, 8.0, "Not ranked"),
+    }
+    schema = "agency string, variable_name string, max_dl double"
+    computed = spark.createDataFrame([(None, "a", 1.0), ("x", "a", 2.0)], schema)
+    chosen = spark.createDataFrame([(None, "a", 1.0), ("y", "a", 3.0)], schema)
+    assert {(r.agency, r.computed_max_dl, r.chosen_max_dl) for r in censoring.limit_differences(computed, chosen).collect()} == {
+        ("x", 2.0, None), ("y", None, 3.0),
+    }
+
+
+def test_group_with_a_missing_limit_has_no_value(spark):
+    rows = spark.createDataFrame(
+        [("x", "a", 5.0, None), ("x", "b", 5.0, "<")], "agency string, variable_name string, measurement_value double, measurement_flag string"
+    )
+    limits = spark.createDataFrame([("x", "a", None), ("x", "b", 9.0)], "agency string, variable_name string, max_dl double")
+    got = censoring.substitute_limits(censoring.flag_censored(rows), limits).orderBy("variable_name").collect()
+    assert [(r.measurement_flag2, r.measurement_max_dl_sub) for r in got] == [(None, None), (True, 9.0)]
+
+
+def test_flux_label_needs_a_unit_that_allows_flux(spark):
+    view = spark.createDataFrame(
+        [("s", "PH", 7.0, 1.0, "pH units"), ("s", "N", 7.0, 1.0, "mg/L")],
+        "station_name string, variable_name string, measurement_value double, daily_flow_cms double, unit_code string",
+    )
+    got = {r.variable_name: (r.n_with_flow, r.flux_label) for r in charts.chart_tasks(view, view).collect()}
+    assert got["N"] == (1, None) and got["PH"][0] == 1 and got["PH"][1] is not None
