@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugewise.llm.line_dedup import without_repeated_lines
+from gaugewise.llm.line_dedup import without_repeated_passages
 from gaugewise.llm.mixing import mixed_documents
 from gaugewise.llm.near_dedup import without_near_duplicates
 from gaugewise.llm.quality_rules import without_rejected
@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one holds; a text that only repeats stays as an empty one."""
-    return without_repeated_lines(docs)
+    return without_repeated_passages(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

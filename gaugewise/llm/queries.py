@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugewise.llm.html_text import extract_main_text
 from gaugewise.llm.licences import scan_licences
-from gaugewise.llm.line_dedup import without_repeated_lines
+from gaugewise.llm.line_dedup import without_repeated_passages
 from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
 from gaugewise.llm.packing import pack_documents
@@ -70,7 +70,7 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op2_line_dedup")
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return without_repeated_lines(docs, counts=True)
+    return without_repeated_passages(docs, counts=True)
 
 
 @query("op3_html_extraction")
