@@ -3,7 +3,8 @@
 A page is read into blocks of text, each at a root-to-leaf path of block elements. Per path, text length and punctuation
 are summed over its blocks (text in links counts against it); a path's ratio is smoothed over the paths that share its
 parent and grandparent, fused with what the element names and classes on the path say, and paths above a share of the
-page's best are content.
+page's best are content. Class words of furniture weigh against an element, unless it holds the article or nearly all of
+the page.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEEP_SHARE = 0.2
+SUSPECT = 0.02  # weight of a path for each element on it that is classed as furniture
+WRAPPER = 9  # an element classed as furniture wraps the page if it holds this many times the plain text outside it
 NEAR = tuple(math.exp(-d * d / 2) for d in range(3))  # weights of the path itself, its siblings, its parent's siblings
 PUNCTUATION = re.compile(r"[.,;:!?。，！？；]")
 
@@ -46,29 +49,36 @@ GOOD_WORD = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry|story|main
 BAD_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+READ = frozenset(["class", "id", "role", "hidden", "aria-hidden"])
+LAYOUT_WORD = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)[_-]\S*", re.I)  # says what is beside or inside the element
 RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "textarea", "noscript", "iframe", "template", "title", "svg")}
 
 
-def _label(name: str, attributes: str) -> str:
-    """The element's part of a path: its name, `!` if it is furniture, `+` if it is the article, `^` if named like content."""
+def _label(name: str, attributes: str, number: int) -> str:
+    """The element's part of a path: its name, and `!` if it is furniture, `+` if it is the article, `^` if named like content.
+
+    `~` and the element's number follow where only a class or id names it like furniture.
+    """
     if name in DROPPED:
         return name + "!"
-    mark = "+" if name in ARTICLE else ""
+    mark, bad = "+" if name in ARTICLE else "", False
     if attributes and name not in ("html", "body"):
         for kind, *values in ATTRIBUTE.findall(attributes):
+            if (kind := kind.lower()) not in READ:
+                continue
             value = next((v for v in values if v), "")
-            if kind.lower() == "role":
+            if kind == "role":
                 if value.lower() in BAD_ROLE:
                     return name + "!"
                 mark = "+" if value.lower() in ("main", "article") else mark
-            elif kind.lower() == "hidden":
-                return name + "!"
-            elif name not in ARTICLE and BAD_WORD.search(value):
+            elif kind == "hidden" or (kind == "aria-hidden" and value.strip().lower() == "true"):
                 return name + "!"
-            elif not mark and GOOD_WORD.search(value):
-                mark = "^"
-    return name + mark
+            elif kind in ("class", "id"):
+                bad = bad or BAD_WORD.search(LAYOUT_WORD.sub("", value)) is not None
+                if not mark and GOOD_WORD.search(value):
+                    mark = "^"
+    return f"{name}{mark}~{number}" if bad and mark != "+" else name + mark
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
@@ -137,7 +147,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
             at = skip_to = stop.end() if stop else end
             continue
         names.append(name)
-        path.append(_label(name, tag[3]))
+        path.append(_label(name, tag[3], tag.start()))
     if at < end:
         parts.append(page[at:])
     yield from flush()
@@ -159,17 +169,47 @@ def path_scores(found: list[tuple[tuple[str, ...], str, int]]) -> dict[tuple[str
     return out
 
 
+def _weighed(found: list[tuple[tuple[str, ...], str, int]]) -> list[tuple[tuple[str, ...], str, int]]:
+    """The blocks with `~` and no number on the elements that count as furniture, and neither on those that wrap the page."""
+    inside: dict[str, int] = defaultdict(int)
+    wraps: set[str] = set()
+    for path, text, links in found:
+        for k, x in enumerate(path):
+            if "~" in x:
+                inside[x] += max(0, len(text) - links)
+                if any(y.endswith("+") for y in path[k + 1 :]):
+                    wraps.add(x)
+    for x in sorted(inside, key=lambda x: (-inside[x], int(x[x.index("~") + 1 :]))):
+        plain = sum(max(0, len(t) - n) for p, t, n in found if x not in p and not any("~" in y and y not in wraps for y in p))
+        if x not in wraps and inside[x] < max(1, WRAPPER * plain):
+            break
+        wraps.add(x)
+
+    def named(path: tuple[str, ...]) -> tuple[str, ...]:
+        new = [x[: x.index("~") + (x not in wraps)] if "~" in x else x for x in path]
+        return tuple(x for k, x in enumerate(new) if not k or new[k - 1] != x)
+
+    return [(named(path), text, links) for path, text, links in found]
+
+
 def main_text(page: str | None) -> str:
     """The page's content blocks, joined by an empty line; '' if there are none."""
-    found = [b for b in blocks(page or "") if not any(x.endswith("!") for x in b[0])]
+    found = _weighed([b for b in blocks(page or "") if not any(x.endswith("!") for x in b[0])])
     if not found:
         return ""
-    marked = {path for path, _, _ in found if any(x.endswith("+") for x in path)}
+    suspects = lambda path: sum(x.endswith("~") for x in path)
+    marked = {path for path, _, _ in found if any(x.endswith("+") for x in path) and not suspects(path)}
     scores = path_scores(found)
-    # a page that marks its article is taken by it: what the article holds is content at any length
-    named = lambda path: 2.0 if any(x.endswith("^") for x in path) else 1.0
-    fused = {path: math.inf if path in marked else 0.0 if marked else score * named(path) for path, score in scores.items()}
-    least = KEEP_SHARE * max(score * named(path) for path, score in scores.items())
+    named = lambda path: (2.0 if any("^" in x for x in path) else 1.0) * SUSPECT ** suspects(path)
+    fused = {path: score * named(path) for path, score in scores.items()}
+    least = KEEP_SHARE * max(fused.values())
+    # a page that marks its article is taken by it: what the article holds is content at any length, and what is outside
+    # it is none, unless there is more content outside (articles in a list of others beside an unmarked main text)
+    held = [0, 0]
+    for path, text, links in found:
+        if path in marked or fused[path] >= least:
+            held[path in marked] += max(0, len(text) - links)
+    fused = {path: math.inf if path in marked else 0.0 if held[1] and held[0] <= held[1] else score for path, score in fused.items()}
     return "\n\n".join(text for path, text, _ in found if fused[path] >= max(least, 1e-9))
 
 
