@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugewise.llm.html_text import extract_main_text
+from gaugewise.llm.lexical_search import ranked_search
 from gaugewise.llm.licences import scan_licences
 from gaugewise.llm.line_dedup import without_repeated_passages
 from gaugewise.llm.mixing import mix_report
 from gaugewise.llm.near_dedup import near_duplicates
 from gaugewise.llm.packing import pack_documents
 from gaugewise.llm.personal_data import find_personal_data
+from gaugewise.llm.phrases import collocations
 from gaugewise.llm.quality_rules import quality_verdicts
 from gaugewise.llm.shipping import ship_package
 from gaugewise.llm.top_k import nearest
@@ -93,6 +95,16 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query("op12_lexical_search")
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_collocations")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op5_exact_topk"] = """
 with v as (
     select vec_id, [floor(256 * x::double) for x in embedding] as e from embeddings
@@ -104,3 +116,62 @@ with v as (
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
 from scored qualify rank <= 5
 """
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+ORACLES["op12_lexical_search"] = f"""
+with d as (
+    select row_number() over () as row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') as terms
+    from documents
+), held as (
+    select * from d where len(terms) > 0
+), totals as (
+    select count(*)::bigint as docs, sum(len(terms))::bigint as words from held
+), tf as (
+    select row, doc_id, n, term, count(*)::bigint as tf
+    from (select row, doc_id, len(terms)::bigint as n, unnest(terms) as term from held) group by all
+), df as (
+    select term, count(*)::bigint as df from tf group by term
+), asked as (
+    select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')) as term from benchmark
+), scores as (
+    select item_id, row, doc_id, sum(
+        floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint
+        * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::bigint as score
+    from asked join tf using (term) join df using (term), totals group by all
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::integer as rank, doc_id, score
+from scores where score > 0 qualify rank <= 10
+"""
+
+ORACLES["op13_collocations"] = f"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) as piece
+    from documents
+), w as (
+    select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from pieces
+), grams as (
+    select lang, words[i : i + size - 1] as gram
+    from (select lang, words, size, unnest(range(1, len(words) - size + 2)) as i from w, (values (1), (2), (3), (4)) as s (size) where len(words) >= size)
+), f as (
+    select lang, gram, count(*)::bigint as f from grams group by all having count(*) >= 30
+), cut as (
+    select c.lang, c.gram, c.f as a, k, x.f as l, y.f as r, ((2000000::hugeint * c.f) // (x.f + y.f))::bigint as score
+    from (select *, unnest(range(1, len(gram))) as k from f where len(gram) > 1) c
+    join f x on x.lang = c.lang and x.gram = c.gram[1 : k] join f y on y.lang = c.lang and y.gram = c.gram[k + 1 : len(c.gram)]
+), lowest as (
+    select * from cut qualify row_number() over (partition by lang, gram order by score, k) = 1
+), around as (
+    select lang, gram[i : i + size - 1] as gram, max(f)::bigint as around
+    from (select lang, gram, f, size, unnest(range(1, len(gram) - size + 2)) as i from f, (values (2), (3)) as s (size) where len(gram) > size)
+    group by all
+), n as (
+    select lang, sum(len(words))::bigint as n from w group by lang
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, array_to_string(gram, ' '))::bigint as rank,
+    array_to_string(gram, ' ') as phrase, a, l, r, n, score
+from lowest left join around using (lang, gram) join n using (lang)
+where around is null or 100::hugeint * around < 80::hugeint * a qualify rank <= 2000
+"""
