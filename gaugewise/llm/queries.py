@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugewise.llm.html_text import extract_main_text
 from gaugewise.llm.lexical_search import ranked_search
@@ -16,6 +17,7 @@ from gaugewise.llm.packing import pack_documents
 from gaugewise.llm.personal_data import find_personal_data
 from gaugewise.llm.phrases import collocations
 from gaugewise.llm.quality_rules import quality_verdicts
+from gaugewise.llm.repeated_strings import without_repeated_strings
 from gaugewise.llm.shipping import ship_package
 from gaugewise.llm.top_k import nearest
 from gaugewise.llm.toxicity import toxicity_scores
@@ -95,6 +97,13 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query("op11_repeated_strings")
+def op11_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = without_repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), digest)
+
+
 @query("op12_lexical_search")
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
