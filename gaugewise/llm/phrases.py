@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,21 +28,32 @@ LEAST = 30
 DEPTH = 4
 TOP = 2000
 NESTED_PERCENT = 80
-CHUNK_WORDS = 1 << 18
+CHUNK_WORDS = 1 << 20
+PENDING_WORDS = 1 << 22  # read before chunks are cut, of all languages
+SMALL = 4096  # partitions of so many pointers are sorted outright
 SUFFIXES = 1 << 20  # of one sorting task, about
 PIECE = 1 << 20
-TOKEN = re.compile(rb"[^ \n]+|\n")
 END = 0  # number of a gap or an end
-BYTES = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
+STOP = b"\xff"  # ends a piece; no byte of UTF-8
+BYTES = bytes(b + 32 if 65 <= b <= 90 else STOP[0] if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
 
-def _word_numbers(text: bytes, words: dict[bytes, int]) -> Iterator[np.ndarray]:
+def _numbers() -> defaultdict[bytes, int]:
+    """Words with their numbers, the next one given on first sight."""
+    words: defaultdict[bytes, int] = defaultdict()
+    words.default_factory = words.__len__
+    words[STOP] = END
+    return words
+
+
+def _word_numbers(text: bytes, words: defaultdict[bytes, int]) -> Iterator[np.ndarray]:
     """Numbers of a text's words, END at ends of pieces; `words` grows by those not met before."""
     text, start = text.translate(BYTES), 0
     while start < len(text):
         end = text.find(b" ", start + PIECE)
         end = len(text) if end < 0 else end
-        yield np.fromiter((words.setdefault(t, len(words)) for t in TOKEN.findall(text[start:end])), np.int32)
+        tokens = text[start:end].replace(STOP, b" " + STOP + b" ").split()
+        yield np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens))
         start = end
     yield np.zeros(1, np.int32)
 
@@ -83,11 +94,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-            words, parts = pending.setdefault(lang, ({b"\n": END}, []))
+            if lang not in pending:
+                pending[lang] = _numbers(), []
+            words, parts = pending[lang]
             for numbers in _word_numbers(text or b"", words):
                 parts.append(numbers)
                 size += len(numbers)
-            if size >= CHUNK_WORDS:
+            if size >= PENDING_WORDS:
                 yield from flushed()
                 size = 0
     yield from flushed()
@@ -136,11 +149,32 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(columns, ["high", "low", "n"])
 
 
+def _small_sizes(words: list[np.ndarray], part: np.ndarray, n: np.ndarray, leading: tuple, least: int) -> Iterator[tuple]:
+    """The same for few pointers: sorted by the words left, sizes are sums over runs of equal ones."""
+    part = part[np.lexsort([w[part] for w in reversed(words)])]
+    total = np.concatenate([np.zeros(1, n.dtype), np.cumsum(n[part])])
+    new = np.zeros(len(part), bool)
+    new[0] = True
+    columns: list[np.ndarray] = []
+    for column in words:
+        keys = column[part]
+        columns.append(keys)
+        new[1:] |= keys[1:] != keys[:-1]
+        first = np.flatnonzero(new)
+        size = total[np.append(first[1:], len(part))] - total[first]
+        often = np.flatnonzero((size >= least) & (keys[first] != END))
+        if not len(often):
+            return
+        for row, prefix in zip(often, zip(*(c[first[often]].tolist() for c in columns), strict=True), strict=True):
+            yield (*leading, *prefix), int(size[row])
+
+
 def phrase_sizes(words: list[np.ndarray], n: np.ndarray, least: int) -> Iterator[tuple[tuple[int, ...], int]]:
     """(leading words, size) of every partition of equal leading words whose size is at least `least`.
 
     Multikey three-way quicksort: pointers are parted by one word into less, equal and greater; less and greater are
-    parted again by the same word, equal by the next one. A partition below `least` is left as it is.
+    parted again by the same word, equal by the next one. A partition below `least` is left as it is, and one of at most
+    SMALL pointers is sorted by all words left at once.
     """
     pointers = np.arange(len(n), dtype=np.int32)
     stack = [(0, len(n), ())]
@@ -149,6 +183,9 @@ def phrase_sizes(words: list[np.ndarray], n: np.ndarray, least: int) -> Iterator
         part = pointers[start:end]
         if not len(part) or (end - start < least and n[part].sum() < least):
             continue
+        if len(part) <= SMALL:
+            yield from _small_sizes(words[len(leading) :], part, n, leading, least)
+            continue
         keys = words[len(leading)][part]
         probe = sorted((keys[0], keys[len(keys) // 2], keys[-1]))
         pivot = probe[1]

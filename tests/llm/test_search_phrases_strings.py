@@ -138,6 +138,7 @@ def texts(seed):
 @pytest.mark.parametrize("chunk, least, top", [(1 << 18, 8, 2000), (50, 8, 2000), (9, 5, 11)])
 def test_phrases_match_brute_force(spark, monkeypatch, chunk, least, top):
     monkeypatch.setattr(phrases, "CHUNK_WORDS", chunk)
+    monkeypatch.setattr(phrases, "PENDING_WORDS", chunk)
     rows = texts(4)
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, lang string, text string, word string, phrase int")
     got = collocations(df.repartition(5), least, top)
@@ -150,7 +151,9 @@ def test_phrases_empty(spark):
     assert collocations(spark.createDataFrame([(1, None, None), (2, "en", "")], df.schema)).count() == 0
 
 
-def test_quicksort_sizes():
+@pytest.mark.parametrize("small", [0, 40, 4096])
+def test_quicksort_sizes(monkeypatch, small):
+    monkeypatch.setattr(phrases, "SMALL", small)
     rng = np.random.default_rng(2)
     words = [rng.integers(0, 6, 3000).astype(np.uint32) for _ in range(4)]
     for k in range(3):
