@@ -294,15 +294,15 @@ def _repeated_runs(texts: DataFrame, least: int) -> DataFrame:
     source, pieces = texts, []
     for share in ANCHORS:
         runs = source.mapInArrow(_runs(least, max(1, round(least * share))), RUNS)
+        each = [F.first(c).alias(c) for c in ("a", "w", "anchor", "context")]
         if share == ANCHORS[0]:
-            each = [F.first(c).alias(c) for c in ("a", "w", "anchor", "context")]
             whole = stored(runs.groupBy("key").agg(F.count("*").alias("copies"), *each), "repeats-texts")
             copies = whole.select("key", "copies")
         else:
-            each = [F.first(c).alias(c) for c in ("a", "w", "anchor", "context")]
             whole = stored(runs.groupBy("key").agg(*each).join(copies, "key"), "repeats-texts")
         places = whole.select("key", "copies", F.inline(F.arrays_zip("a", "w", "anchor", "context")))
-        often = places.groupBy("anchor").agg(F.sum("copies").alias("n")).filter("n > 1").select("anchor")
+        # written, so that the join below has no aggregate between it and its shuffle and a hot anchor can be split
+        often = stored(places.groupBy("anchor").agg(F.sum("copies").alias("n")).filter("n > 1").select("anchor"), "repeats-anchors")
         chosen = F.min(F.struct("key", "a", "w")).alias("one")
         contexts = places.join(often, "anchor").groupBy("anchor", "context").agg(F.sum("copies").alias("n"), chosen)
         contexts = stored(contexts, "repeats-contexts")
