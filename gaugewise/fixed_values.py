@@ -216,6 +216,17 @@ GUIDELINES = (
     ("AEPA Recreation and Aesthetics", "ESCHERICHIA COLI", None, 100.0, "No/100 mL", "chronic"),
 )
 
+# Guideline lines of the earlier panels (panel, exposure, value).
+DRAFT_GUIDELINES = (
+    ("CHLORIDE DISSOLVED (mg/L)", "Chronic", 120.0),
+    ("CHLORIDE DISSOLVED (mg/L)", "Acute", 640.0),
+    ("NITROGEN, NITRATE (mg/L)", "Chronic", 3.0),
+    ("NITROGEN, NITRATE (mg/L)", "Acute", 124.0),
+    ("OXYGEN DISSOLVED (FIELD METER) (mg/L)", "Chronic", 6.5),
+    ("OXYGEN DISSOLVED (FIELD METER) (mg/L)", "Acute", 5.0),
+)
+DRAFT_EXCLUDED_UNIT = "JTU"
+
 # Titles, labels and scales of the charts.
 TITLE_WITHOUT_UNIT = ("PH", "SODIUM ADSORPTION RATIO (CALCD.)")
 LINEAR_ONLY_VARIABLES = ("PH",)

@@ -15,9 +15,24 @@ from gaugewise.operators.lookups import join_same
 def pivot_components(
     df: DataFrame, ids: Sequence[str], name: str, value: str, components: Sequence[str]
 ) -> DataFrame:
-    """One column per component; a sample that reports one twice keeps the greatest text."""
+    """One column per component, as text; a sample that reports one twice keeps its greatest number.
+
+    Texts are compared by the number they hold, a text without one (a censored result) counts as less than any
+    number, and equal numbers go by text. `repeated_components` lists such samples.
+    """
     keep = df.where(F.col(name).isin(list(components)))
-    return keep.groupBy(*ids).pivot(name, list(components)).agg(F.max(value))
+    greatest = F.max_by(value, F.struct(to_number(value).alias("number"), F.col(value).alias("text")))
+    return keep.groupBy(*ids).pivot(name, list(components)).agg(greatest)
+
+
+def repeated_components(
+    df: DataFrame, ids: Sequence[str], name: str, value: str, components: Sequence[str]
+) -> DataFrame:
+    """Samples that report a component more than once: how often, and the least and greatest number."""
+    number = to_number(value)
+    keep = df.where(F.col(name).isin(list(components))).groupBy(*ids, name)
+    found = keep.agg(F.count(F.lit(1)).alias("n_reports"), F.min(number).alias("least"), F.max(number).alias("greatest"))
+    return found.where("n_reports > 1")
 
 
 def with_component_total(wide: DataFrame, components: Sequence[str], total: str) -> DataFrame:

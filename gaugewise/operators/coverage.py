@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugewise.fixed_values import COUNT_VARIABLE, FLOW_PANEL, NOT_A_FLUX, UNAVAILABLE
 from gaugewise.operators.lookups import join_same
+from gaugewise.operators.pairing import with_every
 
 STATION = "station_name"
 
@@ -50,9 +51,8 @@ def flow_series(flow: DataFrame, station: str | None = None) -> DataFrame:
 
 
 def with_each(df: DataFrame, names: DataFrame, name: str) -> DataFrame:
-    """Every row of `df` with every name: the names come in as one array value, then are exploded."""
-    every = names.agg(F.array_sort(F.collect_set(name)))
-    return df.withColumn(name, F.explode(every.scalar()))
+    """Every row of `df` with every name that is not missing."""
+    return with_every(df, names.where(F.col(name).isNotNull()).select(name).distinct())
 
 
 def task_grid(obs: DataFrame, station: str = STATION) -> DataFrame:

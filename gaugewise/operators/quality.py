@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from gaugewise.operators.lookups import join_same
 
+# columns that `readers.with_position` adds: file, start of the split in it, running number inside the split
+INPUT_POSITION = ("_file", "_block", "_row")
 DUPLICATE_KEYS = ("station", "sample_date", "variable_name", "measurement_value")
 
 
@@ -23,7 +25,10 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> DataF
 
 
 def keep_first(df: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS, order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the first in the order of `order` (by default all other columns, NULLs first)."""
+    """One row per key: the first in the order of `order` (by default all other columns, NULLs first).
+
+    With `order=INPUT_POSITION` on a table from `readers.with_position` it is the first row of the files.
+    """
     others = [c for c in df.columns if c not in keys]
     ranked = [*(order or []), *[c for c in others if c not in (order or [])]]
     if not ranked:

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from gaugewise.fixed_values import (
     CONCENTRATION_PANELS,
+    COUNT_VARIABLE,
     CUTOFF_YEAR,
     DETECTION_CONDITIONS,
+    DRAFT_FLUX_VARIABLES,
     FLOW_PANEL,
     FLUX_PANELS,
     LINEAR_ONLY_VARIABLES,
@@ -26,25 +28,23 @@ from gaugewise.fixed_values import (
 )
 from gaugewise.functions.calendar import year_start
 from gaugewise.functions.rules import n_unique_few
-from gaugewise.functions.scale import scaled_value
+from gaugewise.functions.scale import log10_or_null, scaled_value
 from gaugewise.functions.text import output_key, panel_title
-from gaugewise.operators.boxes import box_outliers, box_stats, log_box_stats
+from gaugewise.operators.boxes import layers_of_counts, log10_counts, log_box_stats
 from gaugewise.operators.conform import union_all
-from gaugewise.operators.coverage import flow_series, missing_panels, period, stations_with_flow, task_grid
+from gaugewise.operators.coverage import flow_series, missing_panels, period, stations_with_flow, task_grid, variables
+from gaugewise.operators.distribution import KEY, regrouped, value_counts
 from gaugewise.operators.flow import fill_days
-from gaugewise.operators.flux import flux, has_flux
+from gaugewise.operators.flux import daily_flux, flux, has_flux
 from gaugewise.operators.guidelines import guideline_bounds, overlay
 from gaugewise.operators.lookups import join_same
-from gaugewise.operators.ranking import attach_ranks, year_ranks
+from gaugewise.operators.ordering import category_rank
+from gaugewise.operators.pairing import with_every
+from gaugewise.operators.ranking import attach_ranks, ranks_of_counts, year_ranks
 
 GROUP = ("station_name", "variable_name")
 
 
-def category_rank(column: str, order: Sequence[str]) -> Column:
-    """Position of a value in its category order; NULL for values outside it."""
-    return F.nullif(F.array_position(F.array(*[F.lit(x) for x in order]), F.col(column)), F.lit(0)).cast("int")
-
-
 def year_window(obs: DataFrame) -> tuple[Column, Column]:
     """The year axis: one year beyond the data on either side, as scalar subqueries."""
     bounds = period(obs)
@@ -68,36 +68,52 @@ def concentration_rows(
     )
 
 
+def yearly_layers(
+    rows: DataFrame, cutoff_year: int = CUTOFF_YEAR, log10: bool = True,
+    linear_only: Sequence[str] = LINEAR_ONLY_VARIABLES,
+) -> DataFrame:
+    """Box and outlier layers of the charts by year, filled by the year's rank.
+
+    Ranks and boxes come from one count of the values by station, variable and year. On the log10 scale boxes are
+    those of the logarithms; values that have none stay out of them, but not out of the ranks.
+    """
+    counts = value_counts(rows, [*GROUP, "year"], "measurement_value")
+    listed = ", ".join("'" + name.replace("'", "\\'") + "'" for name in linear_only)
+    linear = f"coalesce({KEY}.variable_name in ({listed}), false)" if listed else None
+    scaled = log10_counts(counts, linear) if log10 else counts
+    ranks = ranks_of_counts(counts, GROUP, cutoff_year=cutoff_year)
+    layers = attach_ranks(layers_of_counts(scaled), ranks, GROUP).drop("median")
+    of_box = F.col("layer") == "box"
+    return layers.withColumns({c: F.when(of_box, F.col(c)) for c in ("perc_bin", "percentile")})
+
+
 def concentration_layers(
     view: DataFrame, guidelines: DataFrame, cutoff_year: int = CUTOFF_YEAR,
-    linear_only: Sequence[str] = LINEAR_ONLY_VARIABLES,
+    linear_only: Sequence[str] = LINEAR_ONLY_VARIABLES, log10: bool = True,
 ) -> DataFrame:
     """Box, outlier and guideline layers of the concentration charts in one table with a `layer` column."""
-    keys = [*GROUP, "year"]
-    scaled = view.withColumn("plotted_value", scaled_value("measurement_value", "variable_name", linear_only))
-    boxes = attach_ranks(
-        box_stats(scaled, keys, "plotted_value"), year_ranks(view, GROUP, cutoff_year=cutoff_year), GROUP
-    ).drop("median")
-    outliers = box_outliers(scaled, keys, "plotted_value").withColumnsRenamed({"outlier": "middle", "n": "n_outliers"})
     units = view.select(*GROUP, "unit_code").distinct()
     lines = overlay(units, guideline_bounds(guidelines)).where("guideline_value is not null")
     return union_all(
-        boxes.withColumn("layer", F.lit("box")),
-        outliers.withColumn("layer", F.lit("outlier")),
+        yearly_layers(view, cutoff_year, log10, linear_only),
         lines.select(*GROUP, "bound", F.col("guideline_value").alias("middle"), F.lit("guideline").alias("layer")),
     )
 
 
-def flux_rows(view: DataFrame, cutoff_year: int = CUTOFF_YEAR) -> DataFrame:
-    """Flux by year with the rank category of the year's flux, log10 scale."""
+def flux_rows(view: DataFrame, cutoff_year: int = CUTOFF_YEAR, log10: bool = True) -> DataFrame:
+    """Flux by year with the rank category of the year's flux, on the log10 or the linear scale."""
+    shown = log10_or_null("measurement_value") if log10 else F.col("measurement_value")
+    suffix = "log_flux" if log10 else "flux"
     return ranked_rows(flux(view), cutoff_year).withColumns(
-        {
-            "plotted_value": scaled_value("measurement_value", "variable_name", ()),
-            "output_key": output_key("station_name", "variable_name", F.lit("log_flux")),
-        }
+        {"plotted_value": shown, "output_key": output_key("station_name", "variable_name", F.lit(suffix))}
     )
 
 
+def flux_layers(view: DataFrame, cutoff_year: int = CUTOFF_YEAR, log10: bool = True) -> DataFrame:
+    """Box and outlier layers of the flux charts, boxes with the rank category of their year."""
+    return yearly_layers(flux(view), cutoff_year, log10, ())
+
+
 def flux_boxes(view: DataFrame) -> DataFrame:
     return log_box_stats(flux(view), [*GROUP, "year"], "measurement_value")
 
@@ -144,22 +160,31 @@ def _panels(
     one_year_keeps_dates: bool, cutoff_year: int, ending: str, bare_titles: Sequence[str],
     bounds: DataFrame | None = None,
 ) -> DataFrame:
+    """Layers result, box, outlier, flow, label and guideline of all panels.
+
+    One count of the values by station, variable, panel and year gives the ranks, the boxes and outliers on the log10
+    scale of the panels, the panels that exist and the years of a station; the rows are read once more for the results.
+    """
     rows = rows.withColumn("facet_title", panel_title("variable_name", "unit_code", bare_titles))
-    ranks = year_ranks(rows, GROUP, cutoff_year=cutoff_year)
-    ranked = attach_ranks(rows, ranks, GROUP)
+    counts = value_counts(rows, [*GROUP, "facet_title", "year"], "measurement_value")
+    ranks = ranks_of_counts(regrouped(counts, [*GROUP, "year"]), GROUP, cutoff_year=cutoff_year)
+    first_day, last_day = F.lit(PANEL_FIRST_DATE).cast("date"), year_start(period(obs).select(F.col("max_year") + 1).scalar())
+    results = rows.withColumn("layer", F.lit("result"))
     if one_year_keeps_dates:
-        years = ranks.groupBy("station_name").agg(n_unique_few("year").alias("_years"))
+        years = counts.groupBy(F.expr(f"{KEY}.station_name").alias("station_name"))
+        years = years.agg(n_unique_few(F.expr(f"{KEY}.year")).alias("_years"))
         at_year = F.when(F.col("_years") > 1, year_start("year")).otherwise(F.col("sample_date"))
-        ranked = join_same(ranked, years, ["station_name"]).withColumn("sample_date", at_year).drop("_years")
+        results = join_same(results, years, ["station_name"]).withColumn("sample_date", at_year)
     else:
-        ranked = ranked.withColumn("sample_date", year_start("year"))
-    results = ranked.select(
-        "station_name", "facet_title", "sample_date", "measurement_value", "year", "perc_bin", "percentile",
-        F.lit("result").alias("layer"),
-    )
-    titles = rows.select("station_name", "facet_title").distinct()
+        results = results.withColumn("sample_date", year_start("year"))
+    results = results.select(*GROUP, "facet_title", "year", "sample_date", "measurement_value", "layer")
+    drawn = layers_of_counts(log10_counts(counts)).withColumn("sample_date", year_start("year"))
+    shown = union_all(results, drawn).where(F.col("sample_date").between(first_day, last_day))
+    ranked = F.col("layer") != "outlier"
+    shown = attach_ranks(shown, ranks, GROUP).drop("median", "variable_name")
+    shown = shown.withColumns({c: F.when(ranked, F.col(c)) for c in ("perc_bin", "percentile")})
+    titles = counts.select(f"{KEY}.station_name", f"{KEY}.facet_title").distinct()
     stations = titles.select("station_name").distinct()
-    last_day = year_start(period(obs).select(F.col("max_year") + 1).scalar())
     daily = _panel_flow(flow, stations, last_day).select(
         "station_name", "facet_title", "sample_date", F.col("daily_flow_cms").alias("measurement_value"), "year",
         F.lit("flow").alias("layer"),
@@ -167,17 +192,15 @@ def _panels(
     labels = missing_panels(titles, flow_series(flow), panels, non_flux).select(
         "station_name", "facet_title", "text", F.lit("label").alias("layer")
     )
-    shown = results.where(F.col("sample_date").between(F.lit(PANEL_FIRST_DATE).cast("date"), last_day))
     layers = [shown, daily, labels]
     if bounds is not None:
         lines = bounds.where(F.col("facet_title").isin(list(panels))).select(
-            F.struct("facet_title", F.col("guideline_value").alias("measurement_value"), "bound").alias("line")
+            "facet_title", F.col("guideline_value").alias("measurement_value"), "bound", F.lit("guideline").alias("layer")
         )
-        # the few bounds come in as one array value and appear in every station's panels
-        every = stations.withColumn("line", F.explode(lines.agg(F.array_agg("line")).scalar()))
-        layers.append(every.select("station_name", "line.*", F.lit("guideline").alias("layer")))
+        layers.append(with_every(stations, lines))  # every bound in every station's panels
     return union_all(*layers).withColumns(
         {
+            "plotted_value": log10_or_null("measurement_value"),
             "facet_rank": category_rank("facet_title", panels),
             "output_key": output_key("station_name", F.lit(ending)),
         }
@@ -220,6 +243,24 @@ def chart_tasks(obs: DataFrame, view: DataFrame) -> DataFrame:
     )
 
 
+def flux_tasks(obs: DataFrame, flow: DataFrame, view: DataFrame, count_variable: str = COUNT_VARIABLE) -> DataFrame:
+    """Flux charts: stations that have flow and samples, with every variable measured as a concentration or counted.
+
+    `n_flux` results make the chart; without any it shows the label.
+    """
+    pairs = with_every(
+        stations_with_flow(obs, flow),
+        variables(obs, only_concentrations=True, count_variable=count_variable).where("variable_name is not null"),
+    )
+    counted = view.where(has_flux()).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n_flux"))
+    return join_same(pairs, counted, list(GROUP)).select(
+        *GROUP,
+        F.coalesce("n_flux", F.lit(0).cast("long")).alias("n_flux"),
+        F.when(F.col("n_flux").isNull(), F.lit(UNAVAILABLE)).alias("flux_label"),
+        output_key("station_name", "variable_name", F.lit("log_flux")).alias("output_key"),
+    )
+
+
 def draft_rows(obs: DataFrame, value: str, ranks: DataFrame, cutoff_year: int = CUTOFF_YEAR) -> DataFrame:
     """Earlier chart form: results at the start of their month, without the cutoff year."""
     kept = obs.where(F.col("year") != cutoff_year)
@@ -229,12 +270,48 @@ def draft_rows(obs: DataFrame, value: str, ranks: DataFrame, cutoff_year: int =
     )
 
 
-def nest_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a group as lists of structs, for consumers that take a group at a time.
+def draft_flow_line(obs: DataFrame, stations: DataFrame | None = None, station: str = "station_name") -> DataFrame:
+    """Earlier flow chart: a line through the flow of the sampled days, at the start of their months.
 
-    Equal rows are one entry with their number (`n_rows`). Keys must name small groups, such as a station and a day's
-    or a year's results; there is one row per group at any size.
+    One point for each sample with its flow, whatever was measured; only `stations`, where they are given.
     """
-    others = [c for c in df.columns if c not in keys]
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.groupBy(*keys).agg(F.collect_list(F.struct(*others, "n_rows")).alias("data"))
+    if stations is not None:
+        obs = join_same(obs, stations.select(station).distinct(), [station], "left_semi")
+    return obs.select(
+        station, F.trunc("sample_date", "MM").alias("month_year"), "daily_flow_cms",
+        output_key(station, F.lit("flow")).alias("output_key"),
+    )
+
+
+def draft_flux_rows(
+    obs: DataFrame, ranks: DataFrame, stations: DataFrame, variables: Sequence[str] = DRAFT_FLUX_VARIABLES,
+    cutoff_year: int = CUTOFF_YEAR, definition: str = "kg_per_day", count_variable: str = COUNT_VARIABLE,
+) -> DataFrame:
+    """Earlier flux chart: daily flux of the listed variables at stations with flow, without the cutoff year."""
+    listed = obs.where(F.col("variable_name").isin(list(variables)))
+    listed = join_same(listed, stations.select("station_name").distinct(), ["station_name"], "left_semi")
+    return draft_rows(daily_flux(listed, variables, definition, count_variable), "flux", ranks, cutoff_year)
+
+
+def draft_panels(
+    obs: DataFrame, ranks: DataFrame, lines: DataFrame, excluded_unit: str | None = None,
+    value: str = "measurement_value",
+) -> DataFrame:
+    """Earlier panels of a station: ranked results by year on the log10 scale, and its guideline lines in every panel.
+
+    Panels are named variable (unit); rows in `excluded_unit`, or without a unit, are left out. `lines` holds a value
+    for each exposure (`variable_name_unit`, `exposure`, `guideline_value`); the draws put every line into every panel,
+    so a line's own variable is kept beside it.
+    """
+    known = obs.where("unit_code is not null" if excluded_unit is None else F.col("unit_code") != excluded_unit)
+    title = F.concat("variable_name", F.lit(" ("), F.col("unit_code"), F.lit(")"))
+    results = attach_ranks(known, ranks, GROUP).select(
+        "station_name", title.alias("panel"), "year", F.col(value).alias("measurement_value"),
+        log10_or_null(value).alias("plotted_value"), "perc_bin", "percentile", F.lit("result").alias("layer"),
+    )
+    panels = results.select("station_name", "panel").distinct()
+    every = with_every(panels, lines.select("variable_name_unit", "exposure", "guideline_value")).select(
+        "station_name", "panel", F.col("guideline_value").alias("measurement_value"),
+        log10_or_null("guideline_value").alias("plotted_value"), "variable_name_unit", "exposure", F.lit("guideline").alias("layer"),
+    )
+    return union_all(results, every)

@@ -13,7 +13,7 @@ from gaugewise.functions.rules import recode
 from gaugewise.functions.text import to_number
 from gaugewise.operators import components, conform
 from gaugewise.operators.censoring import flag_censored, substitute_limits
-from gaugewise.operators.linkage import flow_with_station, obs_with_flow, obs_with_station, require_matched
+from gaugewise.operators.linkage import flow_with_station, obs_with_flow, obs_with_station
 from gaugewise.schema import OBSERVATION_COLUMNS
 
 
@@ -131,9 +131,10 @@ def finished_observations(
 ) -> tuple[DataFrame, DataFrame]:
     """The finished observation table and the flow table with station names.
 
-    Stops when a flow station has no sampling station.
+    That every flow station has a sampling station is checked where the tables are written
+    (`database.register_tables`), in the same pass; `linkage.require_matched` checks it on its own.
     """
-    named_flow = require_matched(flow_with_station(flow, lookup))
+    named_flow = flow_with_station(flow, lookup)
     censored = substitute_limits(flag_censored(consolidated_observations(tables)), limits)
     obs = obs_with_flow(obs_with_station(censored, lookup), named_flow)
     return obs.select(*OBSERVATION_COLUMNS), named_flow

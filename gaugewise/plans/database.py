@@ -2,14 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugewise.fixed_values import UNIT_REPAIRS
 from gaugewise.operators.conform import repair_units
+from gaugewise.plans.gates import Gate, matched_flow, publish
+from gaugewise.sources.layout import repair_partitions, write_clustered
 from gaugewise.sources.writers import write_table
 
 
-def register_tables(obs: DataFrame, flow: DataFrame, guidelines: DataFrame, prefix: str = "") -> None:
-    """Replace the tables `consolidated_data`, `daily_flow` and `guideline`."""
-    write_table(repair_units(obs), f"{prefix}consolidated_data")
-    write_table(flow, f"{prefix}daily_flow")
-    write_table(guidelines, f"{prefix}guideline")
+def register_tables(
+    obs: DataFrame, flow: DataFrame, guidelines: DataFrame, prefix: str = "", gates: Mapping[str, Sequence[Gate]] | None = None
+) -> None:
+    """Replace the tables `consolidated_data`, `daily_flow` and `guideline` together, or none of them.
+
+    Observations lie by year, sorted by station and variable; flow by station and date. While the tables are written
+    their gates are counted (by default: every flow row has a sampling station); `gates` adds more by table name.
+    """
+    more = gates or {}
+    layouts = {
+        f"{prefix}consolidated_data": write_clustered,
+        f"{prefix}daily_flow": lambda df, name: write_table(df.orderBy("station_name", "date"), name),
+        f"{prefix}guideline": write_table,
+    }
+    frames = dict(zip(layouts, (repair_units(obs), flow, guidelines), strict=True))
+    checked = {name: [*more.get(name.removeprefix(prefix), ())] for name in layouts}
+    checked[f"{prefix}daily_flow"].append(matched_flow())
+
+    def write(df: DataFrame, staged: str) -> None:
+        layouts[staged.removesuffix("__staged")](df, staged)
+
+    publish(obs.sparkSession, frames, checked, write)
+
+
+def repair_stored_units(
+    spark: SparkSession, name: str = "consolidated_data", rules: Sequence[tuple[str, str, str]] = UNIT_REPAIRS
+) -> list:
+    """Known unit repairs on a stored table: only the years that hold a wrong unit are read and rewritten."""
+    wrong = F.lit(False)
+    for variable, unit, _ in rules:
+        wrong = wrong | ((F.col("variable_name") == variable) & (F.col("unit_code") == unit))
+    return repair_partitions(spark, name, wrong, lambda df: repair_units(df, rules))

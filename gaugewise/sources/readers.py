@@ -23,6 +23,20 @@ def read_delimited(spark: SparkSession, path: str, schema: str | None = None, co
     return df.select(*columns) if columns else df
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Where each row stands in its input, as columns that sort in file order: file, split, row in the split.
+
+    Take it from a frame straight out of a reader, before any shuffle: a task reads the rows of a split in the
+    order of the file, and running numbers grow along a task.
+    """
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+
+
 def clean_names(df: DataFrame) -> DataFrame:
     """Headers in snake_case; repeated names get a number."""
     seen: dict[str, int] = {}

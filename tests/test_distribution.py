@@ -7,13 +7,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gaugewise.operators import distribution
+from gaugewise.operators.boxes import box_stats
 from gaugewise.operators.distribution import (
     KEY,
     grouped_quantiles,
-    order_bucket,
     quantiles_of_columns,
+    quantiles_of_counts,
+    regrouped,
     share_at_or_below,
     value_counts,
+    value_digits,
 )
 from gaugewise.operators.ranking import year_ranks
 
@@ -59,13 +63,74 @@ def test_several_columns_in_one_pass(spark):
     assert got["b"] == {"k": "b", "x50": 1.0, "x90": 1.0, "y50": None}
 
 
-def test_bucket_never_decreases(spark):
-    values = sorted([random.Random(5).uniform(-1e6, 1e6) for _ in range(500)] + [0.0, 1e-300, -1e-300, 1e308, -1e308,
-                    float("inf"), float("-inf"), 5e-324, 1.0, 1.0 + 2**-52])
-    df = spark.createDataFrame([(float(v),) for v in values], "v double").selectExpr("v", f"{order_bucket('v')} as b")
-    buckets = [r["b"] for r in df.collect()]
-    order = [b for _, b in sorted(zip(values, buckets, strict=True), key=lambda t: t[0])]
+ODD = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 2.0**-1022, 1e308, -1e308, 1.7976931348623157e308, float("inf"), float("-inf"),
+       1.0, 1.0 + 2**-52, 1.0 - 2**-53, 2.0, 2.0 - 2**-52, -1.0, -1.0 - 2**-52, 1023.9999999999999, 1024.0]
+
+
+def test_digits_never_decrease(spark):
+    rnd = random.Random(5)
+    values = [rnd.uniform(-1e6, 1e6) for _ in range(400)] + [math.ldexp(rnd.random(), rnd.randint(-1080, 1024)) for _ in range(400)]
+    values = sorted(values + [2.0**e for e in range(-60, 60)] + [-(2.0**e) for e in range(-9, 9)] + ODD)
+    coarse, fine = value_digits("v")
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").selectExpr("v", f"{coarse} as c", f"{fine} as f")
+    digits = {math.copysign(r["v"], r["v"]): (r["c"], r["f"]) for r in df.collect()}
+    order = [digits[v] for v in values]
     assert order == sorted(order)
+    assert all(0 <= f < 1 << 23 for _, f in order)
+    assert len(set(order)) > len(set(values)) * 0.9  # only neighbours share a node
+
+
+@pytest.mark.parametrize("node_values", [0, 40])
+def test_crowded_groups_match_numpy(spark, monkeypatch, node_values):
+    """Every group split into nodes, also where all its values agree in their leading digits."""
+    monkeypatch.setattr(distribution, "NODE_VALUES", node_values)
+    rows = sample(4) + [("near", 1e6 + k * 2.0**-33) for k in range(300)] + [("odd", v) for v in ODD if math.isfinite(v)]
+    groups = {}
+    for k, v in rows:
+        if v is not None and not math.isnan(v):
+            groups.setdefault(k, []).append(v)
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    got = {r["k"]: r for r in grouped_quantiles(df, ["k"], "v", PROBS).collect()}
+    for k, values in groups.items():
+        for name, p in PROBS.items():
+            assert got[k][name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-300), (k, name)
+    counts = value_counts(df, ["k"], "v")
+    probes = [(k, v) for k, values in groups.items() for v in (min(values), max(values), values[0], 0.5, -1e9, 1e6 + 2.0**-30)]
+    asked = spark.createDataFrame(probes, "k string, x double").select(F.struct("k").alias(KEY), "x")
+    shares = {(r[0]["k"], r["x"]): (r["_share"], r["_total"]) for r in share_at_or_below(counts, asked, "x").collect()}
+    for k, x in probes:
+        assert shares[(k, x)] == (sum(v <= x for v in groups[k]) / len(groups[k]), len(groups[k]))
+
+
+@pytest.mark.parametrize("node_values", [0, 5])
+def test_crowded_ranks_and_boxes(spark, monkeypatch, node_values):
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), "v", 2000 + rnd.randrange(25), round(rnd.gauss(5, 2), 2)) for _ in range(900)]
+    df = spark.createDataFrame(rows, "station string, variable_name string, year int, measurement_value double")
+    want = year_ranks(df, cutoff_year=2022).collect()
+    boxes = box_stats(df, ["station"], "measurement_value").collect()
+    monkeypatch.setattr(distribution, "NODE_VALUES", node_values)
+    assert sorted(map(repr, year_ranks(df, cutoff_year=2022).collect())) == sorted(map(repr, want))
+    assert sorted(map(repr, box_stats(df, ["station"], "measurement_value").collect())) == sorted(map(repr, boxes))
+
+
+def test_values_in_several_rows(spark):
+    counts = value_counts(spark.createDataFrame([("a", y, float(v)) for y in (1, 2, 3) for v in range(7)], "k string, y int, v double"), ["k", "y"], "v")
+    got = quantiles_of_counts(regrouped(counts, ["k"]), PROBS).first()
+    assert [got[name] for name in PROBS] == pytest.approx(list(np.quantile(list(range(7)) * 3, list(PROBS.values()))))
+
+
+def test_one_scan_and_no_window_over_a_group(spark, tmp_path):
+    """Without crowded groups the running plan has no prefix sums left, and the source is read once."""
+    rows = [(f"s{k % 9}", "v", 2000 + k % 23, float(k % 101)) for k in range(4000)]
+    spark.createDataFrame(rows, "station string, variable_name string, year int, measurement_value double").write.parquet(str(tmp_path / "t"))
+    ranks = year_ranks(spark.read.parquet(str(tmp_path / "t")), cutoff_year=2022)
+    ranks.collect()
+    plan = ranks._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert final.count("FileScan") == 1
+    windows = [line for line in final.splitlines() if "Window [" in line]
+    assert windows and all("_coarse" in line and "_fine" in line for line in windows)
 
 
 def test_shares_match_brute_force(spark):
