@@ -28,8 +28,8 @@ LEAST = 30
 DEPTH = 4
 TOP = 2000
 NESTED_PERCENT = 80
-CHUNK_WORDS = 1 << 20
-PENDING_WORDS = 1 << 22  # read before chunks are cut, of all languages
+CHUNK_WORDS = 1 << 19
+PENDING_WORDS = 1 << 21  # read before chunks are cut, of all languages
 SMALL = 4096  # partitions of so many pointers are sorted outright
 SUFFIXES = 1 << 20  # of one sorting task, about
 PIECE = 1 << 20
