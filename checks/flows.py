@@ -9,7 +9,7 @@ from checks.roles import Roles, sql_list
 from gaugewise.operators import flow as f
 from gaugewise.operators import linkage
 
-STATIONS = [f"N{i}" for i in range(6)]
+STATIONS = [f"N{i}" for i in range(25)]  # all there are
 STATS = """min({d}) filter (where {v} is not null) as min_date, max({d}) filter (where {v} is not null) as max_date,
   count({v}) as count_flow, count(*) - count({v}) as count_na_flow, min({v}) as min, round(avg({v}), 6) as mean,
   max({v}) as max, round(stddev_samp({v}) / avg({v}), 6) as cv, round(quantile_cont({v}, 0.1), 6) as q10,
@@ -93,16 +93,22 @@ def _(r: Roles):
     return f.flow_wide(r.flow().where(F.col("flow_station_number").isin(STATIONS)), STATIONS)
 
 
+FIRST, MORE = STATIONS[:12], STATIONS[12:]
+
+
+def _wide_sql(stations: list[str], prefix: str = "") -> str:
+    columns = ", ".join(f'max(case when flow_station_number = \'{s}\' then value end) as "{prefix}{s}"' for s in stations)
+    return f"(select date, {columns} from flow where flow_station_number in ({sql_list(stations)}) group by date)"
+
+
 @query(
     "flow_wide_joined",
-    """select w.date, w.a as "N1", e.b as "E1" from
-      (select date, max(value) as a from flow where flow_station_number = 'N1' group by 1) w
-      left join (select date, max(value) as b from flow where flow_station_number = 'N9' group by 1) e on w.date = e.date""",
+    f"""select w.*, e.* exclude (date) from {_wide_sql(FIRST)} w left join {_wide_sql(MORE, 'E_')} e on w.date = e.date""",
 )
 def _(r: Roles):
-    wide = f.flow_wide(r.flow().where("flow_station_number = 'N1'"), ["N1"])
-    more = f.flow_wide(r.flow().where("flow_station_number = 'N9'"), ["N9"]).withColumnRenamed("N9", "E1")
-    return f.add_station_columns(wide, more)
+    wide = f.flow_wide(r.flow().where(F.col("flow_station_number").isin(FIRST)), FIRST)
+    more = f.flow_wide(r.flow().where(F.col("flow_station_number").isin(MORE)), MORE)
+    return f.add_station_columns(wide, more.withColumnsRenamed({s: f"E_{s}" for s in MORE}))
 
 
 GRID_SQL = f"""select d.date, s.flow_station_number, v.value from

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from gaugewise.fixed_values import UNIT_REPAIRS
 from gaugewise.operators.conform import repair_units
-from gaugewise.plans.gates import Gate, matched_flow, publish
-from gaugewise.sources.layout import repair_partitions, write_clustered
-from gaugewise.sources.writers import write_table
+from gaugewise.plans.gates import STAGED, Gate, matched_flow, publish
+from gaugewise.sources.layout import clustered, repair_partitions
 
 
 def register_tables(
@@ -23,19 +22,19 @@ def register_tables(
     their gates are counted (by default: every flow row has a sampling station); `gates` adds more by table name.
     """
     more = gates or {}
-    layouts = {
-        f"{prefix}consolidated_data": write_clustered,
-        f"{prefix}daily_flow": lambda df, name: write_table(df.orderBy("station_name", "date"), name),
-        f"{prefix}guideline": write_table,
+    frames = {
+        "consolidated_data": clustered(repair_units(obs)),
+        "daily_flow": flow.orderBy("station_name", "date"),
+        "guideline": guidelines,
     }
-    frames = dict(zip(layouts, (repair_units(obs), flow, guidelines), strict=True))
-    checked = {name: [*more.get(name.removeprefix(prefix), ())] for name in layouts}
-    checked[f"{prefix}daily_flow"].append(matched_flow())
+    partitions = {"consolidated_data": ["year"]}
+    checked = {f"{prefix}{name}": [*more.get(name, ()), *([matched_flow()] if name == "daily_flow" else [])] for name in frames}
 
-    def write(df: DataFrame, staged: str) -> None:
-        layouts[staged.removesuffix("__staged")](df, staged)
+    def write(df: DataFrame, staged: str, folder: str) -> None:
+        name = staged.removeprefix(prefix).removesuffix(STAGED)
+        df.write.mode("overwrite").partitionBy(*partitions.get(name, ())).option("path", folder).saveAsTable(staged)
 
-    publish(obs.sparkSession, frames, checked, write)
+    publish(obs.sparkSession, {f"{prefix}{name}": df for name, df in frames.items()}, checked, write)
 
 
 def repair_stored_units(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -9,6 +10,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from gaugewise.sources.layout import remove_folder, table_folder
+
+
+STAGED = "__staged"  # ending of a table's name until it is published
+
 
 @dataclass(frozen=True)
 class Gate:
@@ -68,7 +74,10 @@ def known_flags(condition: str = "detection_condition") -> Gate:
 
 
 def observed(df: DataFrame, gates: Sequence[Gate]) -> tuple[DataFrame, Callable[[], Mapping[str, Any]]]:
-    """The table with its gates' metrics attached, and how to read or raise them once it has been written."""
+    """The table with its gates' metrics attached, and how to read or raise them once it has been written.
+
+    Attach them last: a sort above would run its input a second time to sample it, and count it twice.
+    """
     if not gates:
         return df, dict
     seen = Observation()
@@ -87,24 +96,34 @@ def observed(df: DataFrame, gates: Sequence[Gate]) -> tuple[DataFrame, Callable[
 
 def publish(
     spark: SparkSession, tables: Mapping[str, DataFrame], gates: Mapping[str, Sequence[Gate]],
-    write: Callable[[DataFrame, str], None],
+    write: Callable[[DataFrame, str, str], None],
 ) -> None:
     """Write all tables beside their names, then put them in place together.
 
-    Each table is written by one job, which also counts its gates. If a gate fails, the tables written so far are
-    dropped and every published one stays as it was.
+    `write` gets a table, the name to write it under and the folder to write it to. Each table is written by one
+    job, which also counts its gates; `tables` come as they are to lie on disk. If a gate fails, what was written
+    goes and every published table stays as it was. A published table is a new version in a folder of its own
+    below the warehouse; once the name points to it, the version before goes.
     """
+    home = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     staged: dict[str, str] = {}
     try:
         for name, df in tables.items():
             watched, check = observed(df, gates.get(name, ()))
-            staged[name] = f"{name}__staged"
-            write(watched, staged[name])
+            staged[name] = f"{home}/versions/{name}-{uuid.uuid4().hex}"
+            write(watched, name + STAGED, staged[name])
             check()
     except Exception:
-        for table in staged.values():
-            spark.sql(f"drop table if exists {table}")
+        for name, folder in staged.items():
+            spark.sql(f"drop table if exists {name}{STAGED}")
+            remove_folder(spark, folder)
         raise
-    for name, table in staged.items():
+    for name, folder in staged.items():
+        before = table_folder(spark, name)
         spark.sql(f"drop table if exists {name}")
-        spark.sql(f"alter table {table} rename to {name}")
+        spark.sql(f"create table {name} like {name}{STAGED} location '{folder}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            spark.sql(f"alter table {name} recover partitions")
+        spark.sql(f"drop table {name}{STAGED}")  # the name only: its folder is the new version
+        if before is not None:
+            remove_folder(spark, before)

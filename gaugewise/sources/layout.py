@@ -10,24 +10,43 @@ from pyspark.sql import functions as F
 CLUSTER = ("station_name", "variable_name")
 BUCKETS = 64
 JOIN_KEY = "join_key"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def clustered(df: DataFrame, partition: str = "year", cluster: Sequence[str] = CLUSTER) -> DataFrame:
+    """Rows dealt by ranges of (partition, cluster) and sorted in them.
+
+    A year has as few files as its size needs, a large one is split between stations, and the value ranges of
+    files and row groups do not overlap. One station is read from one stretch of each year, one variable after
+    another.
+    """
+    return df.repartitionByRange(partition, *cluster).sortWithinPartitions(partition, *cluster)
 
 
 def write_clustered(
     df: DataFrame, name: str, partition: str = "year", cluster: Sequence[str] = CLUSTER, row_group_bytes: int | None = None
 ) -> None:
-    """Replace a catalog table partitioned by `partition`, its files sorted by `cluster`.
-
-    Ranges of (partition, cluster) go to one task each: a year has as few files as its size needs, a large one is
-    split between stations, and the value ranges of files and row groups do not overlap. One station is read
-    from one stretch of each year. The order inside a file also holds one variable together.
-    """
-    ranges = df.repartitionByRange(partition, *cluster).sortWithinPartitions(partition, *cluster)
-    writer = ranges.write.mode("overwrite").partitionBy(partition)
+    """Replace a catalog table partitioned by `partition`, its files as `clustered` deals them."""
+    writer = clustered(df, partition, cluster).write.mode("overwrite").partitionBy(partition)
     if row_group_bytes:
         writer = writer.option("parquet.block.size", str(row_group_bytes))
     writer.saveAsTable(name)
 
 
+def table_folder(spark: SparkSession, name: str) -> str | None:
+    """Where a catalog table lies, or None without such a table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"describe table extended {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a table's folder from whatever file system it is on; a missing one is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def repair_partitions(
     spark: SparkSession, name: str, condition: Column, repair: Callable[[DataFrame], DataFrame],
     partition: str = "year", cluster: Sequence[str] = CLUSTER,
@@ -46,9 +65,13 @@ def repair_partitions(
     chosen = F.col(partition).isin(known) if known else F.lit(False)
     if len(known) < len(affected):
         chosen = chosen | F.col(partition).isNull()
-    rows = repair(stored.where(chosen)).select(*stored.columns)
-    rows = rows.repartitionByRange(partition, *cluster).sortWithinPartitions(partition, *cluster)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    rows = clustered(repair(stored.where(chosen)), partition, cluster).select(*stored.columns)
+    mode = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")  # new files first, old ones of the same partitions go at the commit
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, mode)
     spark.catalog.refreshTable(name)
     return affected
 
