@@ -28,9 +28,11 @@ SAMPLE_CANDIDATES = 50_000
 PRECISION = 0.98
 CONTEXT = 24
 
-# The base patterns.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The base patterns, such that a long run of characters is read once. An e-mail address is found from its
+# sign; an address that fails at the start of a run of digits fails at all of its digits.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 BASE = ("email", "ip", "card", "phone")
@@ -43,6 +45,7 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*[0-9])[A-Za-z0-9_/+-]{1
 ACCESS_KEY = re.compile(r"AKIA[0-9A-Z]{16}")
 GROUPED = re.compile(r"(?<![0-9A-Za-z.])\(?[0-9]{2,4}\)?(?:[\x20.-][0-9]{2,4}){1,4}(?![0-9A-Za-z])")
 SPELLED = re.compile(r"(?i)\b[a-z0-9._%+-]+\s?(?:\(at\)|\[at\])\s?[a-z0-9-]+(?:\s?(?:\(dot\)|\[dot\]|\.)\s?[a-z0-9-]+)+")
+AT_WORD = re.compile(r"(?i)\(at\)|\[at\]")
 DATE = re.compile(r"(?:(?:19|20)[0-9]{2}[.-][01]?[0-9][.-][0-3]?[0-9]|[0-3]?[0-9][.-][0-3]?[0-9][.-](?:19|20)[0-9]{2})")
 ONE_WORD = re.compile(r"[A-Za-z]?[a-z]+[.!?]?")
 PLAIN = re.compile(r"\b(?:[A-Za-z]+ ){0,2}[0-9]+(?:\.[0-9]+)?\b")
@@ -69,10 +72,32 @@ def _holds(kind: str, said: str) -> bool:
     return True
 
 
+def email_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping matches of `[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`.
+
+    Each sign is looked at once: the name before it reaches back as far as its characters do, though not into the
+    match before. A name without a domain behind its sign is none, wherever it begins.
+    """
+    done, sign = 0, text.find("@")
+    while sign >= 0:
+        start = sign
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        domain = DOMAIN.match(text, sign + 1) if start < sign else None
+        if domain:
+            done = domain.end()
+            yield start, done
+        else:
+            done = max(done, sign + 1)  # no later name reaches back over this sign
+        sign = text.find("@", done)
+
+
 def base_matches(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, whether the base rule holds) of the leftmost non-overlapping matches of each kind."""
+    for start, end in email_spans(text):
+        yield "email", start, end, True
     some = DIGIT.search(text) is not None
-    for kind, pattern, may in (("email", EMAIL, "@" in text), ("ip", IP, some), ("card", CARD, some), ("phone", PHONE, some and "+" in text)):
+    for kind, pattern, may in (("ip", IP, some), ("card", CARD, some), ("phone", PHONE, some and "+" in text)):
         if may:
             for m in pattern.finditer(text):
                 yield kind, m.start(), m.end(), _holds(kind, m[0])
@@ -101,7 +126,7 @@ def candidates(text: str) -> Iterator[tuple[str, int, int, int | None]]:
         for m in PLAIN.finditer(text):
             yield "number", m.start(), m.end(), 0
     if "at" in text:
-        for m in SPELLED.finditer(text):
+        for m in SPELLED.finditer(text) if AT_WORD.search(text) else ():
             yield "handle", m.start(), m.end(), None
 
 
