@@ -48,19 +48,43 @@ BAD_WORD = re.compile(
 GOOD_WORD = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry|story|main|text|body)(?=$|[\s_-])", re.I)
 BAD_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+BARE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 READ = frozenset(["class", "id", "role", "hidden", "aria-hidden"])
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 LAYOUT_WORD = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)[_-]\S*", re.I)  # says what is beside or inside the element
 RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "textarea", "noscript", "iframe", "template", "title", "svg")}
 
 
-def _label(name: str, attributes: str, number: int) -> str:
+def tags(page: str) -> Iterator[re.Match[str]]:
+    """Tags, comments and declarations in page order, each character read a bounded number of times.
+
+    A quote that never closes is met once: from then on a tag ends at the next `>`, quotes or not.
+    """
+    last, broken = page.rfind(">"), False
+    at = page.find("<")
+    while at >= 0:
+        found = None
+        if page.startswith(("<!--", "<![CDATA["), at):
+            found = TAG.match(page, at)
+        elif at < last:
+            found = (BARE_TAG if broken and page[at + 1 : at + 2] not in "!?" else TAG).match(page, at)
+            if found is None and not broken and BARE_TAG.match(page, at):
+                broken = True
+                found = BARE_TAG.match(page, at)
+        if found:
+            yield found
+        at = page.find("<", found.end() if found else at + 1)
+
+
+def _label(name: str, attributes: str, number: int, in_article: bool = False) -> str:
     """The element's part of a path: its name, and `!` if it is furniture, `+` if it is the article, `^` if named like content.
 
-    `~` and the element's number follow where only a class or id names it like furniture.
+    `~` and the element's number follow where only a class or id names it like furniture; an article named so (a reader's
+    comment, a teaser) is none. The header inside an article is its head, not the page's.
     """
-    if name in DROPPED:
+    if name in DROPPED and not (name == "header" and in_article):
         return name + "!"
     mark, bad = "+" if name in ARTICLE else "", False
     if attributes and name not in ("html", "body"):
@@ -75,10 +99,11 @@ def _label(name: str, attributes: str, number: int) -> str:
             elif kind == "hidden" or (kind == "aria-hidden" and value.strip().lower() == "true"):
                 return name + "!"
             elif kind in ("class", "id"):
+                value = CAMEL.sub("-", value)
                 bad = bad or BAD_WORD.search(LAYOUT_WORD.sub("", value)) is not None
                 if not mark and GOOD_WORD.search(value):
                     mark = "^"
-    return f"{name}{mark}~{number}" if bad and mark != "+" else name + mark
+    return f"{name}{mark.replace('+', '')}~{number}" if bad and (mark != "+" or name == "article") else name + mark
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
@@ -99,7 +124,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         del names[k:], path[k:]
 
     at, end, skip_to = 0, len(page), -1
-    for tag in TAG.finditer(page):
+    for tag in tags(page):
         if tag.start() < skip_to:
             continue
         if tag.start() > at:
@@ -147,7 +172,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
             at = skip_to = stop.end() if stop else end
             continue
         names.append(name)
-        path.append(_label(name, tag[3], tag.start()))
+        path.append(_label(name, tag[3], tag.start(), any(x.endswith("+") for x in path)))
     if at < end:
         parts.append(page[at:])
     yield from flush()
@@ -177,7 +202,8 @@ def _weighed(found: list[tuple[tuple[str, ...], str, int]]) -> list[tuple[tuple[
         for k, x in enumerate(path):
             if "~" in x:
                 inside[x] += max(0, len(text) - links)
-                if any(y.endswith("+") for y in path[k + 1 :]):
+                # holds an article that is not itself inside one: an article's list of comments holds comments
+                if any(y.endswith("+") for y in path[k + 1 :]) and not any(y.endswith("+") for y in path[:k]):
                     wraps.add(x)
     for x in sorted(inside, key=lambda x: (-inside[x], int(x[x.index("~") + 1 :]))):
         plain = sum(max(0, len(t) - n) for p, t, n in found if x not in p and not any("~" in y and y not in wraps for y in p))
