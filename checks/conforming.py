@@ -274,8 +274,10 @@ def _(r: Roles):
 
 IDS = ["sample_site", "sample_date", "result_units"]
 WIDE_SQL = """select sample_site, sample_date, result_units,
-  max(case when parameter = 'click' then formatted_result end) as click,
-  max(case when parameter = 'view' then formatted_result end) as view
+  (list(formatted_result order by try_cast(formatted_result as double) desc nulls last, formatted_result desc nulls last)
+    filter (where parameter = 'click'))[1] as click,
+  (list(formatted_result order by try_cast(formatted_result as double) desc nulls last, formatted_result desc nulls last)
+    filter (where parameter = 'view'))[1] as view
   from txt where year(sample_date) > 2018 and parameter in ('click', 'view') group by all"""
 TOTAL_CTES = f"""wide as ({WIDE_SQL}),
 tot as (select *, nullif(coalesce(try_cast(click as double), 0) + coalesce(try_cast(view as double), 0), 0) as total from wide),
