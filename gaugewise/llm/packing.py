@@ -2,15 +2,21 @@
 
 Texts become token ids with a zero at their end. Whole windows of a long document are sequences of their own; what is
 left of each document, less than a window, is a unit. Units are dealt into shards of about `SHARD_TOKENS`, like texts
-near one another (by a minimum hash of their tokens), and each shard is an inverted index with BM25 weights from
-document frequencies over all units. A seed unit fills its window with its best unused neighbours; the neighbour that
-does not fit is cut, and its rest is the next seed. A shard's last tokens become sequences of power-of-two lengths, so
-no sequence needs padding.
+near one another: all tokens have one order, drawn so that a token comes early in proportion to its squared inverse
+document frequency, and a unit's place is its two earliest tokens. Two units agree in the first about as often as their
+rare tokens do, whatever their doc_id. Each shard is an inverted index with BM25 weights from document frequencies over
+all units, and a seed unit asks it with all its tokens and fills its window with its best unused neighbours; the
+neighbour that does not fit is cut, and its rest is the next seed. A shard's last tokens become sequences of power-of-two
+lengths, so no sequence needs padding.
+
+A seed meets the units of its own shard only: to ask all shards with all units is work that grows with the square of
+the corpus.
 """
 
 from __future__ import annotations
 
 import base64
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -25,10 +31,12 @@ from gaugewise.llm.storage import stored
 
 WINDOW = 1024
 SHARD_TOKENS = 1_000_000
-QUERY_TERMS = 12  # a seed asks with its heaviest terms
 K1, B = 1.2, 0.75
+WEIGHT_STEPS = 256  # weights are whole numbers of that part, so that sums are exact in any order
+FREQUENT = 8  # a token that one in so many units of a shard holds has a dense row
+CLOSING = 0
 VOCABULARY = 1 << 16  # ids are kept as unsigned 16-bit numbers
-TOKENS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ids binary, near long"
+TOKENS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 _encoders: dict[tuple[str, str], object] = {}
@@ -76,12 +84,11 @@ def _tokenise(path: str, pattern: str, keep_ids: bool):
                 n = len(ids)
                 for start in range(0, n - WINDOW + 1, WINDOW):
                     own = ids[start : start + WINDOW]
-                    rows.append((doc_id, start, WINDOW, crc(own), n, 2 * number + 1, own.astype("<u2").tobytes() if keep_ids else None, None))
+                    rows.append((doc_id, start, WINDOW, crc(own), n, 2 * number + 1, own.astype("<u2").tobytes() if keep_ids else None))
                     number += 1
                 if n % WINDOW:
                     own = ids[n - n % WINDOW :]
-                    near = int(mix(own.astype(np.uint64)).min() >> np.uint64(1))
-                    rows.append((doc_id, n - len(own), len(own), None, n, None, own.astype("<u2").tobytes(), near))
+                    rows.append((doc_id, n - len(own), len(own), None, n, None, own.astype("<u2").tobytes()))
             for k in range(0, len(rows), 4096):
                 yield _batch(rows[k : k + 4096], _schema(TOKENS))
 
@@ -97,34 +104,86 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(found[seen], pa.int64())], ["token", "n"])
 
 
+def token_order(frequency: np.ndarray, count: int) -> np.ndarray:
+    """Each token's place in one order: a draw by its hash, divided by its squared inverse document frequency.
+
+    Tokens of one unit alone, of none, and the closing one tell nothing of likeness and come last.
+    """
+    idf = np.log(1 + (count - frequency + 0.5) / (frequency + 0.5))
+    draw = -np.log((mix(np.arange(VOCABULARY, dtype=np.uint64) + np.uint64(1)) >> np.uint64(11)).astype(float) / (1 << 53) + 1e-300)
+    draw = np.where(frequency >= 2, draw / np.maximum(idf, 1e-9) ** 2, np.inf)
+    draw[CLOSING] = np.inf
+    place = np.empty(VOCABULARY, np.int64)
+    place[np.argsort(draw, kind="stable")] = np.arange(VOCABULARY)
+    place[np.isinf(draw)] = VOCABULARY - 1
+    return place
+
+
+def _near(place: np.ndarray):
+    """`near` of each unit: the places of its two earliest tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = batch.column("ids").to_pylist()
+            places = place[np.frombuffer(b"".join(held), "<u2")]
+            lengths = np.array([len(x) // 2 for x in held])
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            first = np.minimum.reduceat(places, starts)
+            places[places == np.repeat(first, lengths)] = VOCABULARY - 1
+            near = first << 16 | np.minimum.reduceat(places, starts)
+            yield batch.append_column("near", pa.array(near))
+
+    return run
+
+
 class Index:
-    """The BM25 inverted index of one shard's units."""
+    """The BM25 inverted index of one shard's units: postings, and dense rows of the tokens that many units hold.
+
+    The dense rows hold at most `FREQUENT` times as many numbers as there are postings.
+    """
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean: float):
         self.n = len(units)
         lengths = np.array([len(u) for u in units])
         codes = np.repeat(np.arange(self.n, dtype=np.int64) << 16, lengths) | np.concatenate(units).astype(np.int64)
-        codes, tf = np.unique(codes, return_counts=True)
+        codes, tf = np.unique(codes[codes & 0xFFFF != CLOSING], return_counts=True)
         unit, term = codes >> 16, codes & 0xFFFF
-        weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[unit] / mean))).astype(np.float32)
-        self.term, self.weight, self.bounds = term, weight, np.searchsorted(unit, np.arange(self.n + 1))
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[unit] / mean))
+        weight = np.maximum(np.rint(weight * WEIGHT_STEPS), 1)
+        self.term, self.bounds = term, np.searchsorted(unit, np.arange(self.n + 1))
         order = np.argsort(term, kind="stable")
         self.posted, self.posted_weight = unit[order], weight[order]
         self.at = np.searchsorted(term[order], np.arange(VOCABULARY + 1))
-        self.score = np.zeros(self.n, np.float32)
+        frequent = np.flatnonzero(np.diff(self.at) * FREQUENT > self.n)
+        self.row = np.full(VOCABULARY, -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.n), np.float32)
+        own = self.row[term] >= 0
+        self.dense[self.row[term[own]], unit[own]] = weight[own]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """Every unit's BM25 score for all the seed's tokens, in steps of weight."""
+        terms = self.term[self.bounds[seed] : self.bounds[seed + 1]]
+        rows = self.row[terms]
+        asked = np.zeros(len(self.dense), np.float32)
+        asked[rows[rows >= 0]] = 1
+        rare = terms[rows < 0]
+        starts, sizes = self.at[rare], self.at[rare + 1] - self.at[rare]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+        return np.bincount(self.posted[at], self.posted_weight[at], self.n) + asked @ self.dense
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused units that share a term with the seed, the best first, ties in their order."""
-        own = slice(self.bounds[seed], self.bounds[seed + 1])
-        terms, weights = self.term[own], self.weight[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-weights, kind="stable")[:QUERY_TERMS]]
-        self.score[:] = 0
-        for t in terms:
-            at = slice(self.at[t], self.at[t + 1])
-            self.score[self.posted[at]] += self.posted_weight[at]
-        found = np.flatnonzero((self.score > 0) & unused)
-        return found[np.argsort(-self.score[found], kind="stable")]
+        """The unused units that share most with the seed, as many as a window can hold; ties in their order."""
+        scores = self.scores(seed)
+        found = np.flatnonzero((scores > 0) & unused)
+        worth = -scores[found]
+        if len(found) > WINDOW:
+            most = worth <= np.partition(worth, WINDOW - 1)[WINDOW - 1]
+            found, worth = found[most], worth[most]
+        return found[np.argsort(worth, kind="stable")][:WINDOW]
 
 
 def pack_shard(units: list[np.ndarray], idf: np.ndarray, mean: float) -> Iterator[list[tuple[int, int, int]]]:
@@ -141,7 +200,7 @@ def pack_shard(units: list[np.ndarray], idf: np.ndarray, mean: float) -> Iterato
                 break
             seed, begin = following, 0
             unused[seed] = False
-        queue = [(seed, begin), *((int(u), 0) for u in index.neighbours(seed, unused)[:WINDOW])]
+        queue = itertools.chain([(seed, begin)], ((int(u), 0) for u in index.neighbours(seed, unused)))
         seed = None
         for unit, start in queue:
             take = min(room, len(units[unit]) - start)
@@ -173,7 +232,7 @@ def _powers(window: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
         yield out
 
 
-def _pack(idf: np.ndarray, mean: float, keep_ids: bool):
+def _pack(idf: np.ndarray, mean: float, shard_tokens: int, keep_ids: bool):
     def shard(rows: list[tuple[int, int, int, np.ndarray]], number: int) -> tuple[list[tuple], int]:
         out = []
         for window in pack_shard([r[3] for r in rows], idf, mean):
@@ -193,7 +252,7 @@ def _pack(idf: np.ndarray, mean: float, keep_ids: bool):
             for doc_id, start, doc_tokens, ids in zip(*columns, strict=True):
                 rows.append((doc_id, start, doc_tokens, np.frombuffer(ids, "<u2")))
                 held += len(rows[-1][3])
-                if held >= 2 * SHARD_TOKENS:
+                if held >= 2 * shard_tokens:
                     out, number = shard(rows, number)
                     yield _batch(out, _schema(PIECES))
                     rows, held = [], 0
@@ -203,24 +262,28 @@ def _pack(idf: np.ndarray, mean: float, keep_ids: bool):
     return run
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = False, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (16-bit, if kept).
 
     `docs` holds doc_id and text; more columns are ignored. `vocabulary` is a rank file and `pattern` what splits a text
     before merges; both must be readable by the executors. NULL and empty texts are one token, the closing 0. Rows that
-    repeat a doc_id, or have none, are documents of their own. Empty input gives no rows.
+    repeat a doc_id, or have none, are documents of their own. A seed finds neighbours in its shard of about `shard_tokens`
+    tokens; equal scores go by place in the shard. Empty input gives no rows.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tokens = stored(texts.mapInArrow(_tokenise(vocabulary, pattern, keep_ids), TOKENS), "tokens")
-    units = tokens.filter("near is not null")
+    units = tokens.filter("sequence_id is null")
     found = units.select("ids").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     count, total = units.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     frequency = np.zeros(VOCABULARY)
     for token, n in found:  # at most one row per token id
         frequency[token] = n
     idf = np.log(1 + (count - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
-    shards = max(1, round(total / SHARD_TOKENS))
-    dealt = units.repartitionByRange(shards, "near", "doc_id", "start").sortWithinPartitions("near", "doc_id", "start", "ids")
-    packed = dealt.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(_pack(idf, total / max(count, 1), keep_ids), PIECES)
-    whole = tokens.filter("near is null").withColumn("offset", F.lit(0).cast("long")).select(*packed.columns)
+    shards = max(1, round(total / shard_tokens))
+    places = units.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(
+        _near(token_order(frequency, count)), "doc_id long, start long, doc_tokens long, ids binary, near long"
+    )
+    dealt = places.repartitionByRange(shards, "near", "doc_id", "start").sortWithinPartitions("near", "doc_id", "start", "ids")
+    packed = dealt.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(_pack(idf, total / max(count, 1), shard_tokens, keep_ids), PIECES)
+    whole = tokens.filter("sequence_id is not null").withColumn("offset", F.lit(0).cast("long")).select(*packed.columns)
     return whole.union(packed)
