@@ -226,7 +226,9 @@ def _without_repeats(docs: DataFrame, counts: bool, inline: bool) -> DataFrame:
     texts = _keyed(docs)
     entries = stored(texts.select("id", "text_hash", "text").mapInArrow(_find(inline), CHUNKS), "chunks")
     many = entries.groupBy("key").count().filter("count > 1").select("key")
-    met = stored(entries.join(many, "key").distinct(), "repeated-chunks")  # rows equal in id and text are one document
+    # rows equal in id and text are one document; dealt by place as well, so that a passage that a third of all texts hold
+    # is not one task's, and the join before may split its key
+    met = stored(entries.join(many, "key").repartition(*entries.columns).distinct(), "repeated-chunks")
     place = F.struct("id", "text_hash", "place")
     repeated = met.groupBy("key").agg(F.min(place).alias("first"))
     repeated = repeated.select("key", F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash"), F.col("first.place").alias("first_place"))
