@@ -49,7 +49,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-# learned rules, groups of near copies and tokens are beyond SQL; tests hold each stage against a brute-force version
+# learned rules, groups of near copies and tokens are beyond SQL; tests check properties of each stage's result, and the
+# operators' tests hold parts of them against brute-force versions
 ORACLE_SQL = None
 
 
