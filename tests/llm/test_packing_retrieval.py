@@ -88,3 +88,19 @@ def test_like_texts_share_sequences(spark):
     # a window is filled by its seed's neighbours, so the copy of one of these may find its own place taken
     whole, dealt = together(10**6), together(20_000)
     assert whole >= 90 and dealt >= 0.85 * whole, (whole, dealt)
+
+
+def test_encoder_looks_for_no_empty_string_and_splits_alike():
+    import tiktoken
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encode = packing.encoder(path, pattern)
+    # without a special token the search for one stops at every character
+    assert encode.special_tokens_set == {packing.UNUSED}
+    assert pattern in packing.SAME_SPLIT
+    plain = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=encode._mergeable_ranks, special_tokens={})
+    rng = random.Random(3)
+    parts = ["a", "Bc", "é", "中文", "12", "٣", "'s", "'re", "'", "!", "...", " ", "  ", "\n", "\r\n", "\t", " ", " ", packing.UNUSED, "\0"]
+    texts = ["", " ", "\n\n", packing.UNUSED] + ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(3000)]
+    for text in texts:
+        assert encode.encode_to_numpy(text, disallowed_special=()).tolist() == plain.encode_ordinary(text)
