@@ -14,6 +14,8 @@ outer marks, and every run of `MARK_WORDS` equal words or more is removed. White
 
 from __future__ import annotations
 
+import itertools
+import operator
 import re
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugewise.llm.hashing import INVERSE, PRIME, _powers_of, mix, text_parts, word_hashes
+from gaugewise.llm.hashing import INVERSE, PRIME, WHITE, _powers_of, mix, text_parts, word_hashes
 from gaugewise.llm.storage import stored
 
 LONG_LINE = 25
@@ -36,7 +38,6 @@ PASSAGE_WORDS = 50
 SPAN = PASSAGE_WORDS - MARK_WORDS + 1
 REACH = 64  # words; beyond it a passage has further marks
 BLOCK = 1024  # words of the first text that one comparison takes, so that marks far apart are compared on their own
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SENTENCE_END = re.compile(r"[.!?]+\s+")
 NO_ID = (1 << 63) - 1
 BROADCAST_ROWS = 500_000
@@ -56,7 +57,7 @@ def segments(text: str) -> Iterator[list[tuple[int, int]]]:
     begin, run = 0, []
     for line in text.split("\n"):
         end = min(begin + len(line) + 1, len(text))
-        if len(line.split(None, LONG_LINE)) >= LONG_LINE:
+        if len(line) >= 2 * LONG_LINE - 1 and len(line.split(None, LONG_LINE)) >= LONG_LINE:
             if run:
                 yield run
             run = []
@@ -73,9 +74,11 @@ def chunks(text: str) -> list[tuple[int, int]]:
     """The chunks that may be removed, as (begin, end): of two units and `LEAST_WORDS` words, or of one long line."""
     out = []
     for units in segments(text):
-        found, first, last = [], 0, 0
+        found, first, last, filled = [], 0, 0, []
         for k, (a, b) in enumerate(units):
-            own = xxhash.xxh3_64_intdigest(text[a:b].strip())
+            unit = text[a:b].strip()
+            filled.append(bool(unit))
+            own = xxhash.xxh3_64_intdigest(unit)
             rolled = xxhash.xxh3_64_intdigest(own.to_bytes(8, "little"), seed=last)
             last = own
             if rolled % SPREAD == 0 and k + 1 - first >= LEAST_UNITS:
@@ -88,8 +91,7 @@ def chunks(text: str) -> list[tuple[int, int]]:
                 found.append((first, len(units)))
         for i, j in found:
             words = len(text[units[i][0] : units[j - 1][1]].split(None, LONG_LINE))
-            said = sum(not text[a:b].isspace() for a, b in units[i:j])
-            if (said >= LEAST_UNITS and words >= LEAST_WORDS) or words >= LONG_LINE:
+            if (sum(filled[i:j]) >= LEAST_UNITS and words >= LEAST_WORDS) or words >= LONG_LINE:
                 out.append((units[i][0], units[j - 1][1]))
     return out
 
@@ -148,30 +150,42 @@ def _find(inline: bool):
     return run
 
 
+def word_starts(text: str) -> list[int]:
+    """Where each word begins, in characters."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    white = WHITE[data]
+    first = ~white
+    first[1:] &= white[:-1]
+    starts = np.flatnonzero(first)
+    if len(data) > len(text):
+        starts -= np.cumsum(data & 0xC0 == 0x80)[starts]
+    return starts.tolist()
+
+
 def _first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The texts asked for in `firsts`: the chunk numbered `low` where `high` is below 0, else the words from low to high."""
     for batch in batches:
         rows = []
         for doc_id, text_hash, text, firsts in zip(*(batch.column(c).to_pylist() for c in ("id", "text_hash", "text", "firsts")), strict=True):
             at = chunks(text) if any(e["high"] < 0 for e in firsts) else []
-            words = [m.span() for m in WORD.finditer(text)] if any(e["high"] >= 0 for e in firsts) else []
+            words = word_starts(text) if any(e["high"] >= 0 for e in firsts) else []
             for entry in firsts:
                 low, high = entry["low"], entry["high"]
-                a, b = at[low] if high < 0 else (words[low][0], words[min(high, len(words)) - 1][1])
+                a, b = at[low] if high < 0 else (words[low], words[high] if high < len(words) else len(text))
                 rows.append((doc_id, text_hash, low, high, text[a:b].strip()))
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in FIRST_TEXTS]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, FIRST_TEXTS, strict=True)], [n for n, _ in FIRST_TEXTS])
 
 
-def _equal_runs(said: list[str], other: list[str], begin: int) -> Iterator[tuple[int, int]]:
+def _equal_runs(said: list[bytes], other: list[bytes], begin: int) -> Iterator[tuple[int, int]]:
     """Runs of `MARK_WORDS` words or more, as (begin, end) in `said`, that equal those of `other`, put at `begin`."""
     low, high = max(0, begin), min(len(said), begin + len(other))
+    unequal = map(operator.ne, said[low:high], other[low - begin : high - begin])
     start = low
-    for k in range(low, high + 1):
-        if k == high or said[k] != other[k - begin]:
-            if k - start >= MARK_WORDS:
-                yield start, k
-            start = k + 1
+    for k in itertools.chain(itertools.compress(range(low, high), unequal), [high]):
+        if k - start >= MARK_WORDS:
+            yield start, k
+        start = k + 1
 
 
 def _without(text: str, again: list[dict]) -> tuple[str, int, int]:
@@ -181,11 +195,11 @@ def _without(text: str, again: list[dict]) -> tuple[str, int, int]:
         at = chunks(text)
         gone += [at[e["place"]] for e in again if e["high"] < 0 and text[slice(*at[e["place"]])].strip() == e["first_text"]]
     if any(e["high"] >= 0 for e in again):
-        found = list(WORD.finditer(text))
-        said, starts = [m[0] for m in found], [*(m.start() for m in found), len(text)]
+        # of bytes, split knows the six kinds of white space that part words, and no other
+        said, starts = text.encode().split(), [*word_starts(text), len(text)]
         for e in again:
             if e["high"] >= 0:
-                gone += [(starts[i], starts[j]) for i, j in _equal_runs(said, WORD.findall(e["first_text"]), e["place"])]
+                gone += [(starts[i], starts[j]) for i, j in _equal_runs(said, e["first_text"].encode().split(), e["place"])]
     kept, end, n, words = [], 0, 0, 0
     for a, b in sorted(gone):
         if b > end:

@@ -1,6 +1,7 @@
 """Repeated passages that begin and end inside lines, against every window of words."""
 
 import random
+import re
 
 from gaugewise.llm import line_dedup
 from gaugewise.llm.queries import QUERIES
@@ -60,3 +61,12 @@ def test_texts_that_say_one_thing_over_and_over(spark):
     got = {r.doc_id: r.text for r in line_dedup.without_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2] == "" and got[4] == "x " * 49
     assert line_dedup.MARK_WORDS <= len(got[1].split()) <= 2 * SIZE and len(got[3].split()) <= 3 * SIZE
+
+
+def test_word_starts_without_a_match_per_word():
+    rng = random.Random(8)
+    parts = ["a", "bc", "é", "中", "😀", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", " ", " ", "\x85", ".", "\0"]
+    for text in ["", " ", "é", *("".join(rng.choices(parts, k=rng.randint(0, 90))) for _ in range(500))]:
+        found = list(re.finditer(r"[^\x20\x09-\x0D]+", text))
+        assert line_dedup.word_starts(text) == [m.start() for m in found]
+        assert text.encode().split() == [m[0].encode() for m in found]
