@@ -197,6 +197,13 @@ def quantiles_of_columns(
     return found.groupBy(*[F.col(f"{KEY}.`{k}`").alias(k) for k in keys]).agg(*columns)
 
 
+def sorted_quantile(values: str, p: float) -> str:
+    """SQL text of the same quantile of an ascending array without missing values; NULL for an empty one."""
+    x = f"((size({values}) - 1) * {float(p)!r}D)"
+    low, high = (f"element_at({values}, cast({f}({x}) as int) + 1)" for f in ("floor", "ceil"))
+    return f"case when size({values}) > 0 then {low} + ({high} - {low}) * ({x} - floor({x})) end"
+
+
 def share_at_or_below(
     counts: DataFrame, probes: DataFrame, probe_value: str, crowded: DataFrame | None = None
 ) -> DataFrame:

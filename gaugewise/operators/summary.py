@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugewise.functions.rules import n_unique, n_unique_few, percent, strict
 from gaugewise.operators.censoring import is_censored
-from gaugewise.operators.distribution import quantiles_of_columns
+from gaugewise.operators.distribution import quantiles_of_columns, sorted_quantile
 from gaugewise.operators.lookups import join_same
 
+SIZE_PARTS, SMALL_ROWS = 1 << 18, 1 << 13
 QUANTILES = {"p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9}
 
 
@@ -31,8 +32,9 @@ def overview(
     state after limit substitution, `stations` the number of stations, `flow` mean and median of the same-day
     flow, `flux` the sum of that column. Dates, `count_lflag2` and the flux sum are NULL when an input is.
 
-    Simple measures combine before the shuffle; quantiles come from `quantiles_of_columns`, so that no task
-    holds a group.
+    Rows are counted first by `SIZE_PARTS` parts of the groups. Groups of parts of at most `SMALL_ROWS` rows are
+    shuffled once, as rows, and summed up where they lie. For the others simple measures combine before the shuffle
+    and quantiles come from `quantiles_of_columns`, so that no task holds a large group.
     """
     censored = is_censored()
     n_lflag, n_values = F.count_if(censored), F.count(value)
@@ -69,4 +71,38 @@ def overview(
     wanted = {value: QUANTILES}
     if flow:
         wanted["daily_flow_cms"] = {"median_flow": 0.5}
+
+    part = F.pmod(F.xxhash64(*keys), F.lit(SIZE_PARTS))
+    sizes = df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    # at most one number for each part
+    large = F.array_sort(F.collect_list(F.when(F.col("_rows") > SMALL_ROWS, F.col("_part"))))
+    n_small, large = sizes.agg(F.count_if(F.col("_rows") <= SMALL_ROWS), large).first()
+    if not large:
+        return _small_groups(df, keys, measures, wanted)
+    if not n_small:
+        return _large_groups(df, keys, measures, wanted)
+    parts = F.broadcast(df.sparkSession.createDataFrame([(p,) for p in large], "_part long"))
+    few = df.join(parts, part == parts["_part"], "left_anti")
+    many = df.join(parts, part == parts["_part"], "left_semi")
+    return _small_groups(few, keys, measures, wanted).unionByName(_large_groups(many, keys, measures, wanted))
+
+
+def _large_groups(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[Column], wanted: Mapping[str, Mapping[str, float]]
+) -> DataFrame:
     return join_same(df.groupBy(*keys).agg(*measures), quantiles_of_columns(df, keys, wanted), list(keys))
+
+
+def _small_groups(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[Column], wanted: Mapping[str, Mapping[str, float]]
+) -> DataFrame:
+    """The same, with one shuffle of the rows; a group's values are held as a sorted array."""
+    lists = [
+        F.sort_array(F.collect_list(F.nanvl(F.col(c).cast("double"), F.lit(None)) + F.lit(0.0))).alias(f"_sorted_{c}")
+        for c in wanted
+    ]
+    out = df.repartition(*keys).groupBy(*keys).agg(*measures, *lists)
+    quantiles = {
+        name: F.expr(sorted_quantile(f"`_sorted_{column}`", p)) for column, probs in wanted.items() for name, p in probs.items()
+    }
+    return out.withColumns(quantiles).drop(*[f"_sorted_{column}" for column in wanted])

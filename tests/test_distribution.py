@@ -1,5 +1,6 @@
 """Exact quantiles and distributions against brute force, with hot groups, ties and odd values."""
 
+import datetime
 import math
 import random
 
@@ -180,3 +181,34 @@ def test_year_ranks_draft_rules(spark):
     assert got == {("a", 2000): 2 / 3, ("a", 2023): 1.0, ("a", 2024): 1 / 3}
     strict = ranks(spark, rows, strict_median=True, **options)
     assert strict[("a", 2023)] is None and strict[("a", 2022)] == 1.0
+
+
+def test_overview_of_small_and_large_groups(spark, monkeypatch):
+    from gaugewise.operators import summary
+
+    rng = random.Random(5)
+    rows = []
+    for name, n in [("a", 1), ("b", 4), (None, 6), ("c", 0), ("d", 300), ("e", 700)]:
+        for _ in range(n):
+            value = rng.choice([None, math.nan, -0.0, 0.0, 1.5, 2.0, round(rng.random() * 9, 2), math.inf])
+            flow = rng.choice([None, round(rng.random(), 3), -3.25])
+            day = None if rng.random() < 0.002 else datetime.date(2000 + rng.randint(0, 3), rng.randint(1, 12), 1)
+            rows.append((name, day, value, rng.choice([None, "<", "L", "G"]), rng.choice([True, False]), flow))
+    rows += [("f", datetime.date(2001, 1, 1), None, None, None, None)] * 3
+    ddl = "name string, sample_date date, measurement_value double, measurement_flag string, measurement_flag2 boolean, daily_flow_cms double"
+    df = spark.createDataFrame(rows, ddl).repartition(3)
+
+    def found(small):
+        monkeypatch.setattr(summary, "SMALL_ROWS", small)
+        out = summary.overview(df, ["name"], substituted=True, flow=True, flux="daily_flow_cms")
+
+        def plain(x):  # of equal zeros any may be the least
+            return [plain(y) for y in x] if isinstance(x, list) else float(f"{x:.9g}") + 0.0 if isinstance(x, float) else x
+
+        return out.columns, out.schema.simpleString(), {r.name: repr([plain(x) for x in r]) for r in out.collect()}, out
+
+    large, mixed, small = found(0), found(100), found(10**6)
+    assert large[:3] == mixed[:3] == small[:3] and len(small[2]) == 6
+    # rows of small groups are shuffled once; the other exchange is the test's own
+    plan = small[3]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
