@@ -2,6 +2,8 @@
 
 1. Texts become chunks of word numbers with a dictionary of their own; dictionaries are summed to global counts, and
    words that reach the least count get global numbers. All else is a gap, for no phrase across it can be frequent.
+   A chunk is many short rows, a row for each word of its dictionary and one for every few hundred places: readers,
+   sorts and Arrow batches take rows by the thousand, and long ones would all be in memory at once.
 2. Every place in a text starts a suffix of at most four words, up to the next gap or end of a piece. Suffixes, equal
    ones of a chunk added up, are routed by their leading words: Spark deals ranges of them, so that a frequent first
    word or pair is spread over as many tasks as its suffixes need.
@@ -28,13 +30,16 @@ LEAST = 30
 DEPTH = 4
 TOP = 2000
 NESTED_PERCENT = 80
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 19  # about
 PENDING_WORDS = 1 << 21  # read before chunks are cut, of all languages
+TEXTS = 64  # in Python at once
+ROW_WORDS = 1 << 9  # starts of suffixes in a row
 SMALL = 4096  # partitions of so many pointers are sorted outright
 SUFFIXES = 1 << 20  # of one sorting task, about
 PIECE = 1 << 20
 END = 0  # number of a gap or an end
 STOP = b"\xff"  # ends a piece; no byte of UTF-8
+CHUNKS = ["chunk", "lang", "at", "word", "n", "ids"]
 BYTES = bytes(b + 32 if 65 <= b <= 90 else STOP[0] if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
 
@@ -58,66 +63,116 @@ def _word_numbers(text: bytes, words: defaultdict[bytes, int]) -> Iterator[np.nd
     yield np.zeros(1, np.int32)
 
 
-def _chunk_rows(lang: str, words: dict[bytes, int], numbers: np.ndarray) -> Iterator[tuple]:
-    """Parts of CHUNK_WORDS starts, each with the few words after them and a dictionary of its own."""
+def _chunk_parts(words: dict[bytes, int], numbers: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray, int, np.ndarray]]:
+    """(words, how often each begins a suffix, starts, numbers into the words from 1) of parts of about CHUNK_WORDS starts.
+
+    The numbers go on for a few words after the starts.
+    """
     names = list(words)
-    for start in range(0, len(numbers), CHUNK_WORDS):
-        part = numbers[start : start + CHUNK_WORDS + DEPTH - 1]
-        starts = min(CHUNK_WORDS, len(numbers) - start)
+    size = -(-len(numbers) // max(1, round(len(numbers) / CHUNK_WORDS)))
+    for start in range(0, len(numbers), size):
+        part = numbers[start : start + size + DEPTH - 1]
+        starts = min(size, len(numbers) - start)
         used, local = np.unique(part, return_inverse=True)
         if used[0] != END:
             used, local = np.concatenate([np.zeros(1, used.dtype), used]), local + 1
-        yield lang, starts, local.astype(np.int32), [names[u] for u in used[1:]], np.bincount(local[:starts], minlength=len(used))[1:]
+        yield [names[u] for u in used[1:]], np.bincount(local[:starts], minlength=len(used))[1:], starts, local.astype(np.int32)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts)))
+
+
+def _chunk_rows(chunk: int, lang: str, names: list[bytes], counts: np.ndarray, starts: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The words of a chunk, then its places: `n` starts in a row, and the few words after them."""
+    size, at = len(names), range(0, starts, ROW_WORDS)
+    if size:
+        columns = [
+            pa.array(np.full(size, chunk)),
+            pa.array([lang] * size),
+            pa.array(np.arange(1, size + 1, dtype=np.int32)),
+            pa.array(names, pa.binary()).cast(pa.string()),
+            pa.array(counts, pa.int64()),
+            pa.nulls(size, pa.list_(pa.int32())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, CHUNKS)
+    columns = [
+        pa.array(np.full(len(at), chunk)),
+        pa.array([lang] * len(at)),
+        pa.array(np.zeros(len(at), np.int32)),
+        pa.nulls(len(at), pa.string()),
+        pa.array([min(ROW_WORDS, starts - a) for a in at], pa.int64()),
+        _lists([ids[a : a + ROW_WORDS + DEPTH - 1] for a in at]),
+    ]
+    yield pa.RecordBatch.from_arrays(columns, CHUNKS)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of texts of one language: words of `ids` are numbers into `words` from 1, the first `starts` begin suffixes."""
+    """Rows of chunks of texts of one language: `n` of word number `at`, or `n` starts and `ids`, numbers into the words from 1."""
     made = TaskContext.get().partitionId() << 32
     pending: dict[str, tuple[dict, list]] = {}
-    size = 0
-
-    def flushed() -> Iterator[pa.RecordBatch]:
-        nonlocal made
-        for lang, (words, parts) in pending.items():
-            for name, starts, ids, texts, counts in _chunk_rows(lang, words, np.concatenate(parts)):
-                columns = [
-                    pa.array([made], pa.int64()),
-                    pa.array([name]),
-                    pa.array([starts], pa.int32()),
-                    pa.array([ids], pa.list_(pa.int32())),
-                    pa.array([texts], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                    pa.array([counts], pa.list_(pa.int64())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["chunk", "lang", "starts", "ids", "words", "counts"])
+    sizes: dict[str, int] = {}
+    total = 0
+
+    def flushed(langs: list[str]) -> Iterator[pa.RecordBatch]:
+        nonlocal made, total
+        for lang in langs:
+            words, parts = pending.pop(lang)
+            total -= sizes.pop(lang)
+            words.default_factory = None  # it holds `words`, which only a rare search for cycles would free
+            for part in _chunk_parts(words, np.concatenate(parts)):
+                yield from _chunk_rows(made, lang, *part)
                 made += 1
-        pending.clear()
 
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-            if lang not in pending:
-                pending[lang] = _numbers(), []
-            words, parts = pending[lang]
-            for numbers in _word_numbers(text or b"", words):
-                parts.append(numbers)
-                size += len(numbers)
-            if size >= PENDING_WORDS:
-                yield from flushed()
-                size = 0
-    yield from flushed()
+        for start in range(0, batch.num_rows, TEXTS):
+            some = batch.slice(start, TEXTS)
+            for lang, text in zip(some.column("lang").to_pylist(), some.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                if lang not in pending:
+                    pending[lang], sizes[lang] = (_numbers(), []), 0
+                words, parts = pending[lang]
+                for numbers in _word_numbers(text or b"", words):
+                    parts.append(numbers)
+                    sizes[lang] += len(numbers)
+                    total += len(numbers)
+                if sizes[lang] >= CHUNK_WORDS:
+                    yield from flushed([lang])
+                elif total >= PENDING_WORDS:
+                    yield from flushed([*pending])
+    yield from flushed([*pending])
 
 
 def _renumbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks in global numbers; a word that has none becomes END."""
+    """Rows of places in global numbers; a word that has none becomes END, and a chunk without any goes.
+
+    Rows are sorted by `key`, twice the chunk, plus 1 for places: the known words of a chunk come before its places.
+    """
+    chunk, table = None, None
     for batch in batches:
-        for row in range(batch.num_rows):
-            ids = batch.column("ids")[row].values.to_numpy()
-            table = np.zeros(int(ids.max(initial=0)) + 1, np.int32)
-            known = batch.column("known")[row].values
-            if known is not None and len(known):
-                local, number = known.flatten()
-                table[local.to_numpy()] = number.to_numpy()
-            columns = [batch.column("starts").slice(row, 1), pa.array([table[ids]], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["starts", "ids"])
+        key, at, n = (batch.column(c).to_numpy() for c in ("key", "at", "n"))
+        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            if start == end:
+                continue
+            if int(key[start]) >> 1 != chunk:
+                chunk, table = int(key[start]) >> 1, None
+            if not key[start] & 1:
+                table = _longer(table, int(at[start:end].max()))
+                table[at[start:end]] = n[start:end]
+            elif table is not None:
+                rows = batch.column("ids").slice(start, end - start)
+                ids, offsets = rows.flatten().to_numpy(), rows.offsets.to_numpy()
+                table = _longer(table, int(ids.max(initial=0)))
+                lists = pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(table[ids]))
+                yield pa.RecordBatch.from_arrays([pa.array(n[start:end], pa.int32()), lists], ["starts", "ids"])
+
+
+def _longer(table: np.ndarray | None, last: int) -> np.ndarray:
+    """`table` with a place for `last`; END where nothing was."""
+    if table is None:
+        return np.full(last + 1, END, np.int32)
+    return table if last < len(table) else np.concatenate([table, np.full(last + 1 - len(table), END, np.int32)])
 
 
 def _folded(high: np.ndarray, low: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,17 +188,23 @@ def _folded(high: np.ndarray, low: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes of four words as two longs of two numbers each, with how often the chunk has them."""
+    """Suffixes of four words as two longs of two numbers each, with how often some rows of one chunk's size have them."""
+    many = max(1, CHUNK_WORDS // ROW_WORDS)
     for batch in batches:
-        for row in range(batch.num_rows):
-            starts = batch.column("starts")[row].as_py()
-            ids = batch.column("ids")[row].values.to_numpy().astype(np.int64)
-            at = np.flatnonzero(ids[:starts] != END)
-            ids = np.concatenate([ids, np.zeros(DEPTH, np.int64)])
+        for row in range(0, batch.num_rows, many):
+            rows = batch.slice(row, many)
+            lists, starts = rows.column("ids"), rows.column("starts").to_numpy()
+            offsets = lists.offsets.to_numpy()
+            ids = np.concatenate([lists.flatten().to_numpy(), np.full(DEPTH, END, np.int32)])
+            begins = np.zeros(len(ids) + 1, np.int8)  # 1 at a row's first start, -1 behind its last
+            np.add.at(begins, offsets[:-1] - offsets[0], 1)
+            np.add.at(begins, offsets[:-1] - offsets[0] + starts, -1)
+            at = np.flatnonzero((np.cumsum(begins[:-1], dtype=np.int8) > 0) & (ids != END))
             words = [ids[at]]
-            for k in range(1, DEPTH):
+            for k in range(1, DEPTH):  # stays in its row: a row has all words that its starts need, or ends with a text
                 words.append(np.where(words[-1] == END, END, ids[at + k]))
-            high, low, n = _folded(words[0] << 32 | words[1], words[2] << 32 | words[3], np.ones(len(at), np.int64))
+            high, low = (words[k].astype(np.int64) << 32 | words[k + 1] for k in (0, 2))
+            high, low, n = _folded(high, low, np.ones(len(at), np.int64))
             for a in range(0, len(high), 1 << 16):
                 columns = [pa.array(x[a : a + (1 << 16)]) for x in (high, low, n)]
                 yield pa.RecordBatch.from_arrays(columns, ["high", "low", "n"])
@@ -212,16 +273,17 @@ def _sorted_sizes(least: int):
     """(high, low, f) of the frequent phrases of a range of suffixes; sizes at its two ends are parts of a sum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+        parts, fresh, kept = [], 0, 0
         for batch in batches:
             parts.append([batch.column(c).to_numpy() for c in ("high", "low", "n")])
-            size += batch.num_rows
-            if size > 4 * SUFFIXES:  # copies of one suffix from many chunks
+            fresh += batch.num_rows
+            if fresh > max(SUFFIXES, kept):  # copies of one suffix from many chunks
                 parts = [list(_folded(*(np.concatenate(x) for x in zip(*parts, strict=True))))]
-                size = len(parts[0][0]) // 2
-        if not size and not parts:
+                fresh, kept = 0, len(parts[0][0])
+        if not fresh and not kept:
             return
         high, low, n = _folded(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        del parts
         words = [(x >> s & 0xFFFFFFFF).astype(np.uint32) for x in (high, low) for s in (32, 0)]
         ends: dict[tuple[int, ...], int] = {}
         for row in (0, len(n) - 1):
@@ -246,29 +308,28 @@ def _numbered(frequent: DataFrame) -> DataFrame:
     """`number` from 1 without gaps: the place inside a written part behind the sizes of the parts before it."""
     placed = stored(frequent.withColumn("_at", F.monotonically_increasing_id()), "phrase-words")
     placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1))
-    before, shift = [], 1
-    for row in placed.groupBy("_part").count().orderBy("_part").collect():  # one row for each task of the write
-        before.append((row["_part"], shift))
-        shift += row["count"]
-    if shift >= 1 << 31:
+    sizes = placed.groupBy("_part").count().orderBy("_part").collect()  # one row for each task of the write
+    shifts = np.cumsum([1, *(row["count"] for row in sizes)], dtype=np.int64)
+    if shifts[-1] >= 1 << 31:
         raise ValueError("more than 2^31 words reach the least count")
-    offsets = placed.sparkSession.createDataFrame(before, "_part long, _shift long")
+    columns = [pa.array([row["_part"] for row in sizes], pa.int64()), pa.array(shifts[:-1])]
+    # a table, because rows of a list would start Python workers on every executor, which stay
+    offsets = placed.sparkSession.createDataFrame(pa.table(columns, ["_part", "_shift"]))
     return placed.join(F.broadcast(offsets), "_part").withColumn("number", (F.col("_at") + F.col("_shift")).cast("int")).drop("_at", "_part", "_shift")
 
 
 def phrase_counts(documents: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(counts, words, totals): phrase (array of word numbers) and f; lang, word, f, number; lang and n."""
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    chunks = stored(
-        texts.mapInArrow(_chunks, "chunk long, lang string, starts int, ids array<int>, words array<string>, counts array<long>"), "phrase-chunks"
-    )
-    local = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    local = local.select("chunk", "lang", (F.col("at") + 1).alias("at"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    chunks = stored(texts.mapInArrow(_chunks, "chunk long, lang string, at int, word string, n long, ids array<int>"), "phrase-chunks")
+    local = chunks.filter("word is not null").drop("ids")
     totals = local.groupBy("lang").agg(F.sum("n").alias("n"))
     words = stored(_numbered(local.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)), "phrase-numbers")
-    known = local.join(words.select("lang", "word", "number"), ["lang", "word"]).groupBy("chunk")
-    known = known.agg(F.collect_list(F.struct("at", "number")).alias("known"))  # at most the words of a chunk
-    texts = chunks.select("chunk", "starts", "ids").join(known, "chunk").select("starts", "ids", "known")
+    known = local.drop("n").join(words.select("lang", "word", "number"), ["lang", "word"])
+    # empty and not NULL: for every row, Spark's Arrow writer goes over all NULL lists that came last
+    known = known.selectExpr("chunk", "chunk * 2 as key", "at", "number as n", "cast(array() as array<int>) as ids")
+    rows = chunks.filter("word is null").selectExpr("chunk", "chunk * 2 + 1 as key", "at", "cast(n as int) as n", "ids")
+    texts = known.unionAll(rows).repartition("chunk").sortWithinPartitions("key").drop("chunk")
     texts = stored(texts.mapInArrow(_renumbered, "starts int, ids array<int>"), "phrase-texts")
     places = texts.agg(F.sum("starts")).first()[0] or 0
     tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-places // SUFFIXES))
